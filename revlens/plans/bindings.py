@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions.text import WHITESPACE_TOKEN_DELIMITERS
+from revlens.sources.layout import spread_small_input
 
 # Fixed values of the binding.
 RATING_HALVES = ("O", "F")
@@ -41,13 +42,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """``item_id, rating, order_key`` (no user lookup)."""
     li = table(spark, sf_dir, "lineitem")
-    return (li.where(F.col("l_linestatus").isin(*RATING_HALVES))
-              .select(F.col("l_partkey").alias("item_id"),
-                      F.col("l_quantity").alias("rating"),
-                      F.col("l_orderkey").alias("order_key")))
+    out = (li.where(F.col("l_linestatus").isin(*RATING_HALVES))
+             .select(F.col("l_partkey").alias("item_id"),
+                     F.col("l_quantity").alias("rating"),
+                     F.col("l_orderkey").alias("order_key")))
+    return spread_small_input(out) if spread else out
 
 
 def order_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,11 +101,18 @@ def _sentiment(labelled: F.Column) -> F.Column:
              .otherwise(F.lit("unlabelled")))
 
 
-def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True) -> DataFrame:
-    """``rid, review, category, aspect[, sentiment]``."""
+def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True,
+            spread: bool = False) -> DataFrame:
+    """``rid, review, category, aspect[, sentiment]``.
+
+    ``spread`` is for the tokenising queries: their per-row work is heavy
+    enough to be worth spreading a small single-split input over all cores.
+    """
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("rid"), F.col("text").alias("review"),
         F.col("source").alias("category"), F.col("lang").alias("aspect"))
+    if spread:
+        docs = spread_small_input(docs)
     if not with_sentiment:
         return docs
     labels = table(spark, sf_dir, "labels").select(
@@ -120,4 +129,5 @@ def conversation_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stop_words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+    """The in-code stop list as a JVM-side local table."""
+    return spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in STOP_WORDS])).alias("word"))

@@ -1,0 +1,22 @@
+"""Input layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan has fewer splits.
+
+    A scan task cannot split a parquet row group, so a small input stored as
+    one row group is read, tokenised and partially aggregated by a single
+    task.  The repartition only fires when the input has fewer splits than
+    cores, i.e. when it is small enough that moving it is cheap; a large
+    input already has one split per 128 MB and is returned unchanged.
+    """
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
