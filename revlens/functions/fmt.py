@@ -30,8 +30,8 @@ def item_line(avg: Column | str, n: Column | str) -> Column:
 
 
 def top_item_line(title: Column | str, avg: Column | str, min_count: int) -> Column:
-    return F.coalesce(F.format_string(TOP_ITEM_LINE, _col(title), _col(avg)),
-                      F.lit(NO_TOP_ITEM_LINE % min_count))
+    return (F.when(_col(avg).isNull(), F.lit(NO_TOP_ITEM_LINE % min_count))
+             .otherwise(F.format_string(TOP_ITEM_LINE, _col(title), _col(avg))))
 
 
 def gender_line(male: Column | str, female: Column | str) -> Column:

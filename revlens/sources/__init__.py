@@ -1 +1,9 @@
-"""sources"""
+"""Readers, writers and input-layout helpers."""
+
+from revlens.sources.layout import spread_small_input
+from revlens.sources.sinks import tsv_lines, write_tsv
+from revlens.sources.text_tables import (REVIEW_SCHEMA, read_items, read_ratings, read_reviews,
+                                         read_users, read_word_list)
+
+__all__ = ["REVIEW_SCHEMA", "read_items", "read_ratings", "read_reviews", "read_users",
+           "read_word_list", "spread_small_input", "tsv_lines", "write_tsv"]
