@@ -45,7 +45,8 @@ def _fields(spark: SparkSession, paths: Paths, limit: int = 0) -> DataFrame:
 
 
 def _field(i: int) -> Column:
-    return java_trim(F.col("f")[i])
+    """Field ``i`` trimmed, or null when the line has fewer fields."""
+    return java_trim(F.get(F.col("f"), i))
 
 
 def _number(text: Column, to: str, on_error: str, what: str) -> Column:
@@ -80,7 +81,7 @@ def read_items(spark: SparkSession, paths: Paths) -> DataFrame:
     line with only two fields still names its item (``genres`` is null).
     """
     f = _fields(spark, paths, limit=3)
-    genres = F.when(F.size("f") >= 3, java_trim(F.col("f")[2]))
+    genres = _field(2)
     return (f.where(F.size("f") >= 2)
              .select(_field(0).alias("item_id"), _field(1).alias("title"),
                      genres.alias("genres")))
