@@ -37,8 +37,8 @@ def _paths(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _fields(spark: SparkSession, paths: Paths, limit: int = 0) -> DataFrame:
-    lines = spark.read.text(_paths(paths))
+def _fields(lines: DataFrame, limit: int = 0) -> DataFrame:
+    """``f``: the fields of each non-blank line of a ``value`` text column."""
     return (lines.select(java_trim("value").alias("line"))
                  .where(F.col("line") != "")
                  .select(java_split("line", FIELD_SEPARATOR, limit).alias("f")))
@@ -62,12 +62,17 @@ def _number(text: Column, to: str, on_error: str, what: str) -> Column:
 
 
 def read_ratings(spark: SparkSession, paths: Paths, on_error: str = "fail") -> DataFrame:
-    """``user_id, item_id, rating, ts`` from ``user, item, rating[, timestamp]`` lines.
+    """``user_id, item_id, rating, ts`` from ``user, item, rating[, timestamp]`` lines."""
+    return parse_ratings(spark.read.text(_paths(paths)), on_error)
+
+
+def parse_ratings(lines: DataFrame, on_error: str = "fail") -> DataFrame:
+    """Rating rows from a ``value`` line column (batch or streaming).
 
     A bad rating fails the job by default (``on_error='null'`` keeps the row
     with a null rating).  The timestamp is optional and never required.
     """
-    f = _fields(spark, paths)
+    f = _fields(lines)
     return (f.where(F.size("f") >= 3)
              .select(_field(0).alias("user_id"), _field(1).alias("item_id"),
                      _number(_field(2), "double", on_error, "rating").alias("rating"),
@@ -80,7 +85,7 @@ def read_items(spark: SparkSession, paths: Paths) -> DataFrame:
     At most three fields, so a comma inside the genres text survives.  A
     line with only two fields still names its item (``genres`` is null).
     """
-    f = _fields(spark, paths, limit=3)
+    f = _fields(spark.read.text(_paths(paths)), limit=3)
     genres = _field(2)
     return (f.where(F.size("f") >= 2)
              .select(_field(0).alias("item_id"), _field(1).alias("title"),
@@ -89,7 +94,7 @@ def read_items(spark: SparkSession, paths: Paths) -> DataFrame:
 
 def read_users(spark: SparkSession, paths: Paths) -> DataFrame:
     """``user_id, gender, age, occupation, zip``; lines need id and gender."""
-    f = _fields(spark, paths)
+    f = _fields(spark.read.text(_paths(paths)))
     return (f.where(F.size("f") >= 2)
              .select(_field(0).alias("user_id"), _field(1).alias("gender"),
                      _field(2).try_cast("int").alias("age"),

@@ -1 +1,7 @@
-"""streaming"""
+"""Incremental (Structured Streaming) runs of the batch operators."""
+
+from revlens.streaming.incremental import (item_averages, start_item_averages,
+                                           start_word_frequencies, word_frequencies)
+
+__all__ = ["item_averages", "start_item_averages", "start_word_frequencies",
+           "word_frequencies"]

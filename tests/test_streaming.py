@@ -1,0 +1,29 @@
+from revlens.operators import reviews as V
+from revlens.streaming import start_item_averages, start_word_frequencies
+from tests.conftest import rows
+
+
+def test_item_averages_stream(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("u1, 10, 4.0\nu2, 10, 5.0\n")
+    (src / "b.txt").write_text("u3, 20, 3.0\n\nu4, 99, 1.0\n")
+    items = spark.createDataFrame([("10", "Heat", "Action"), ("20", "Up", "Family")],
+                                  "item_id string, title string, genres string")
+    q = start_item_averages(spark, str(src), items, "item_avg_stream",
+                            checkpoint=str(tmp_path / "ck"), available_now=True)
+    q.awaitTermination(120)
+    assert rows(spark.table("item_avg_stream")) == [
+        ("10", "Heat", 4.5, 2), ("20", "Up", 3.0, 1), ("99", "99", 1.0, 1)]
+
+
+def test_word_frequency_stream(spark, tmp_path):
+    src = tmp_path / "rv"
+    src.mkdir()
+    (src / "a.csv").write_text("1;đẹp rất đẹp;GENERAL;HOTEL;positive\n", encoding="utf-8")
+    (src / "b.csv").write_text("2;phòng đẹp;PRICES;ROOMS;negative\n", encoding="utf-8")
+    stop = V.stop_word_table(spark, ["rất"])
+    q = start_word_frequencies(spark, str(src), stop, "word_freq_stream",
+                               checkpoint=str(tmp_path / "ck"), available_now=True)
+    q.awaitTermination(120)
+    assert rows(spark.table("word_freq_stream")) == [("phòng", 1), ("đẹp", 3)]
