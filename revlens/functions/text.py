@@ -20,7 +20,7 @@ DEFAULT_TOKEN_DELIMITERS = ' ",()*'
 WHITESPACE_TOKEN_DELIMITERS = ' \t\n\x0b\f\r",()*'
 
 # Characters String.trim() removes: U+0000 to U+0020.
-_CTRL_OR_SPACE = r"[\x00-\x20]"
+_CTRL_OR_SPACE = "".join(chr(i) for i in range(0x21))
 
 
 def _col(c: Column | str) -> Column:
@@ -28,13 +28,16 @@ def _col(c: Column | str) -> Column:
 
 
 def java_trim(c: Column | str) -> Column:
-    """``String.trim()``: strip all leading/trailing chars <= U+0020."""
-    return F.regexp_replace(_col(c), rf"^{_CTRL_OR_SPACE}+|{_CTRL_OR_SPACE}+$", "")
+    """``String.trim()``: strip all leading/trailing chars <= U+0020.
+
+    A character-set trim, no regex: cheap enough to run on every token.
+    """
+    return F.btrim(_col(c), F.lit(_CTRL_OR_SPACE))
 
 
 def has_visible_char(c: Column | str) -> Column:
-    """True when ``java_trim(c)`` would be non-empty (null stays null)."""
-    return _col(c).rlike(r"[^\x00-\x20]")
+    """True when ``java_trim(c)`` is non-empty (null stays null)."""
+    return java_trim(c) != ""
 
 
 def java_split(c: Column | str, pattern: str, limit: int = 0) -> Column:

@@ -10,7 +10,7 @@ but their group still appears (with 0).
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,17 +42,27 @@ def stop_word_table(spark: SparkSession, words: Iterable[str]) -> DataFrame:
     return spark.createDataFrame([(w,) for w in words], "word string")
 
 
-def remove_stop_words(toks: DataFrame, stop_words: DataFrame) -> DataFrame:
-    """Anti-join on ``word`` (exact, case-sensitive; duplicate entries harmless).
+StopWords = DataFrame | Collection[str]
 
-    The stop side is broadcast only after a bounded count proves it small;
-    otherwise the optimizer's own size checks pick the join.
+
+def remove_stop_words(toks: DataFrame, stop_words: StopWords) -> DataFrame:
+    """Drop tokens equal to a stop word (exact, case-sensitive; repeats harmless).
+
+    A stop table is anti-joined on ``word``; it is broadcast only after a
+    bounded count proves it small, otherwise the optimizer's own size checks
+    pick the join.  An in-code list becomes a hash-set membership filter
+    inside the scan stage: no exchange at all.
     """
-    stop = broadcast_if_bounded(stop_words.select("word"))
-    return toks.join(stop, "word", "left_anti")
+    if isinstance(stop_words, DataFrame):
+        stop = broadcast_if_bounded(stop_words.select("word"))
+        return toks.join(stop, "word", "left_anti")
+    words = sorted({w for w in stop_words if w is not None})
+    if not words:
+        return toks
+    return toks.where(~F.col("word").isin(words))
 
 
-def clean_words(reviews: DataFrame, stop_words: DataFrame,
+def clean_words(reviews: DataFrame, stop_words: StopWords,
                 delimiters: str = DEFAULT_TOKEN_DELIMITERS) -> DataFrame:
     """``rid, category, aspect, sentiment, word`` after stop-word removal."""
     words = remove_stop_words(tokens(normalize(reviews), delimiters), stop_words)

@@ -128,6 +128,6 @@ def conversation_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv_id").alias("rid"), F.col("role").alias("aspect"))
 
 
-def stop_words(spark: SparkSession) -> DataFrame:
-    """The in-code stop list as a JVM-side local table."""
+def stop_word_table(spark: SparkSession) -> DataFrame:
+    """The in-code stop list as a JVM-side one-column table."""
     return spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in STOP_WORDS])).alias("word"))

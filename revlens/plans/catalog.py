@@ -73,7 +73,7 @@ def q_rating_avg_by_age_group(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- reviews
 
 def _words(spark: SparkSession, d: str, with_sentiment: bool) -> DataFrame:
-    return V.clean_words(B.reviews(spark, d, with_sentiment, spread=True), B.stop_words(spark),
+    return V.clean_words(B.reviews(spark, d, with_sentiment, spread=True), B.STOP_WORDS,
                          B.TOKEN_DELIMITERS)
 
 

@@ -32,9 +32,26 @@ def test_item_average_scan_is_pruned_and_filtered(spark):
     assert "orders.parquet" not in text          # users are not looked up here
 
 
-def test_stop_words_anti_join_is_broadcast(spark):
+def test_in_code_stop_list_is_a_scan_stage_filter(spark):
     text = plan(E.queries()["clean_words"](spark, SF_DIR))
-    assert "BroadcastHashJoin LeftAnti BuildRight" in text
+    assert "LeftAnti" not in text
+    assert "NOT word" in text and " IN (" in text
+
+
+def test_stop_table_anti_join_is_broadcast(spark):
+    from revlens.operators import reviews as V
+    from revlens.plans import bindings as B
+    df = V.clean_words(B.reviews(spark, SF_DIR), B.stop_word_table(spark))
+    assert "BroadcastHashJoin LeftAnti BuildRight" in plan(df)
+
+
+def test_stop_table_and_list_agree(spark):
+    from revlens.operators import reviews as V
+    from revlens.plans import bindings as B
+    reviews = B.reviews(spark, SF_DIR)
+    a = V.clean_words(reviews, B.stop_word_table(spark), B.TOKEN_DELIMITERS)
+    b = V.clean_words(reviews, B.STOP_WORDS, B.TOKEN_DELIMITERS)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def test_top_k_uses_partial_group_limit(spark):
