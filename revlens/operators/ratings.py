@@ -50,18 +50,31 @@ def rating_avg_by_item(ratings: DataFrame, items: DataFrame) -> DataFrame:
 def top_rated_item(item_rows: DataFrame, min_count: int = 5) -> DataFrame:
     """The best average among items with ``n_ratings >= min_count``.
 
-    Always exactly one row; all columns are null when no item qualifies.
-    Ties on the unrounded average go to the smallest id compared as text.
-    NaN averages never win.  A global aggregate (partial per task, then one
-    tiny merge) instead of a sort.
+    ``item_rows`` holds ``item_id, avg_rating, n_ratings`` and optionally
+    ``title``.  Always exactly one row; all columns are null when no item
+    qualifies.  Ties on the unrounded average go to the smallest id compared
+    as text; NaN averages never win.  A global aggregate (partial per task,
+    then one tiny merge) instead of a sort.
     """
+    cols = [c for c in ("item_id", "title", "avg_rating", "n_ratings") if c in item_rows.columns]
     eligible = item_rows.where((F.col("n_ratings") >= min_count) & ~F.isnan("avg_rating"))
     best = F.min(F.struct(
         (-F.col("avg_rating")).alias("neg_avg"),
         F.col("item_id").cast("string").alias("id_text"),
-        "item_id", "title", "avg_rating", "n_ratings")).alias("best")
-    return eligible.agg(best).select("best.item_id", "best.title", "best.avg_rating",
-                                     "best.n_ratings")
+        *cols)).alias("best")
+    return eligible.agg(best).select(*[f"best.{c}" for c in cols])
+
+
+def best_rated_item(ratings: DataFrame, items: DataFrame, min_count: int = 5) -> DataFrame:
+    """``item_id, title, avg_rating, n_ratings`` of the best-rated item (one row).
+
+    The winner is chosen on ids alone; only its title is then fetched: the
+    items table is semi-joined to the single winning id (a one-row
+    broadcast), so it is filtered in its scan and never shuffled.
+    """
+    best = top_rated_item(item_stats(ratings), min_count)
+    wanted = items.join(F.broadcast(best.select("item_id")), "item_id", "left_semi")
+    return with_titles(best, wanted).select("item_id", "title", "avg_rating", "n_ratings")
 
 
 def explode_genres(items: DataFrame, separator: str = GENRE_SEPARATOR) -> DataFrame:

@@ -37,8 +37,8 @@ def q_rating_avg_by_item(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_top_rated_item(spark: SparkSession, d: str) -> DataFrame:
-    per_item = R.rating_avg_by_item(B.ratings(spark, d), B.items(spark, d))
-    return _round(R.top_rated_item(per_item, B.TOP_ITEM_MIN_COUNT), "avg_rating")
+    best = R.best_rated_item(B.ratings(spark, d), B.items(spark, d), B.TOP_ITEM_MIN_COUNT)
+    return _round(best, "avg_rating")
 
 
 def _item_genres(spark: SparkSession, d: str) -> DataFrame:

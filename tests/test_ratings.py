@@ -125,3 +125,12 @@ def test_age_groups_half_open(spark, items):
 def test_age_bounds_must_increase(spark, ratings):
     with pytest.raises(ValueError):
         R.age_group_averages(ratings, (0, 50, 18))
+
+
+def test_best_rated_item_fetches_only_the_winner_title(spark, ratings, items):
+    many = R.union_ratings(*[ratings] * 3)
+    assert rows(R.best_rated_item(many, items, 3)) == [("6", "Blank", 5.0, 3)]
+    assert rows(R.best_rated_item(many, items, 7)) == [(None, None, None, None)]
+    # winner missing from the items table falls back to its id
+    assert rows(R.best_rated_item(many.where("item_id = '99'"), items, 1)) == \
+        [("99", "99", 1.0, 3)]
