@@ -38,8 +38,25 @@ TOKEN_DELIMITERS = WHITESPACE_TOKEN_DELIMITERS
 ITEM_GENRE_SEPARATOR = " "
 
 
+# Declared schemas of the columns the bindings read (a subset of each table;
+# parquet columns are matched by name).  Declaring them skips the footer-
+# reading job that schema inference would start for every table read.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_linestatus string",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "customer": "c_custkey bigint, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string",
+    "documents": "doc_id bigint, text string, lang string, source string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, role string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ratings(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:

@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame
 
 
 def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan has fewer splits.
+    """Round-robin ``df`` over the cluster's cores when its scan is badly under-split.
 
     A scan task cannot split a parquet row group, so a small input stored as
     one row group is read, tokenised and partially aggregated by a single
-    task.  The repartition only fires when the input has fewer splits than
-    cores, i.e. when it is small enough that moving it is cheap; a large
-    input already has one split per 128 MB and is returned unchanged.
+    task.  The repartition fires only when the scan has at most half as many
+    splits as there are cores, i.e. when the input is small (a large input
+    has one split per 128 MB and is returned unchanged) and spreading at
+    least doubles the parallelism of the heavy per-row work.  Call it on a
+    scan, before any shuffle.  Round-robin is even whatever the key skew.
     """
     if df.isStreaming:
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if 2 * df.rdd.getNumPartitions() > target:
         return df
     return df.repartition(target)
