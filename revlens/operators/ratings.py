@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.text import java_split, java_trim
@@ -112,19 +112,24 @@ def rate_by_users(ratings: DataFrame, users: DataFrame, *user_cols: str) -> Data
     return ratings.join(users.select("user_id", *user_cols), "user_id", "inner")
 
 
-def gender_averages(rated: DataFrame, male: str = "M", female: str = "F") -> DataFrame:
-    """``item_id, male_avg, female_avg`` from ratings carrying ``gender``.
+def gender_average_columns(male: str = "M", female: str = "F") -> list[Column]:
+    """``male_avg, female_avg`` aggregates over rows carrying ``gender``.
 
     Labels match case-insensitively; other labels count for neither side,
     and an empty side is 0.0.
     """
     g = F.upper(F.col("gender"))
 
-    def side(label: str, name: str):
+    def side(label: str, name: str) -> Column:
         return F.coalesce(F.avg(F.when(g == label.upper(), F.col("rating"))),
                           F.lit(0.0)).alias(name)
 
-    return rated.groupBy("item_id").agg(side(male, "male_avg"), side(female, "female_avg"))
+    return [side(male, "male_avg"), side(female, "female_avg")]
+
+
+def gender_averages(rated: DataFrame, male: str = "M", female: str = "F") -> DataFrame:
+    """``item_id, male_avg, female_avg`` from ratings carrying ``gender``."""
+    return rated.groupBy("item_id").agg(*gender_average_columns(male, female))
 
 
 def rating_avg_by_gender(ratings: DataFrame, users: DataFrame, items: DataFrame,
@@ -146,12 +151,12 @@ def age_group_names(bounds: Sequence[float]) -> list[tuple[str, str]]:
     return out
 
 
-def age_group_averages(rated: DataFrame, bounds: Sequence[float] = (0, 18, 35, 50)) -> DataFrame:
-    """``item_id, avg_<lo>_<hi> ...`` from ratings carrying ``age``.
+def age_group_average_columns(bounds: Sequence[float] = (0, 18, 35, 50)) -> list[Column]:
+    """``avg_<lo>_<hi> ...`` aggregates over rows carrying ``age``.
 
     Groups are half-open, so an age on a boundary belongs to the upper
     group; ages below the first bound fall in no group.  An empty group is
-    null.  One pass: every group is a conditional average.
+    null.  Every group is a conditional average, so all take one pass.
     """
     if list(bounds) != sorted(bounds) or len(set(bounds)) != len(bounds):
         raise ValueError("age bounds must be strictly increasing")
@@ -162,7 +167,12 @@ def age_group_averages(rated: DataFrame, bounds: Sequence[float] = (0, 18, 35, 5
         if i + 1 < len(bounds):
             cond = cond & (age < bounds[i + 1])
         aggs.append(F.avg(F.when(cond, F.col("rating"))).alias(name))
-    return rated.groupBy("item_id").agg(*aggs)
+    return aggs
+
+
+def age_group_averages(rated: DataFrame, bounds: Sequence[float] = (0, 18, 35, 50)) -> DataFrame:
+    """``item_id, avg_<lo>_<hi> ...`` from ratings carrying ``age``."""
+    return rated.groupBy("item_id").agg(*age_group_average_columns(bounds))
 
 
 def rating_avg_by_age_group(ratings: DataFrame, users: DataFrame, items: DataFrame,

@@ -50,28 +50,41 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
                    min_count: int = 5, age_bounds: Sequence[float] = (0, 18, 35, 50),
                    genre_separator: str = R.GENRE_SEPARATOR, mode: str = "overwrite",
                    single_file: bool = False) -> dict[str, str]:
-    """Write the five rating outputs; returns ``{name: path}``."""
+    """Write the five rating outputs; returns ``{name: path}``.
+
+    Three passes over the ratings instead of five: one (sum, count) row per
+    item feeds the item lines, the best item and the genre averages; one
+    join to the users feeds both the gender and the age-group averages; the
+    (genre, rating) pairs are the third.  The two per-item results are
+    written to the checkpoint folder and read back by their outputs.
+    """
     paths = {name: f"{out_dir}/{name}" for name in RATINGS_OUTPUTS}
 
     def out(name: str, df: DataFrame) -> None:
         write_tsv(df, paths[name], mode, single_file)
 
-    per_item = R.rating_avg_by_item(ratings, items)
-    out("item_averages", item_report_lines(per_item, min_count))
+    sums = materialize(ratings.groupBy("item_id").agg(
+        F.sum("rating").alias("s"), F.count("rating").alias("n")), "item_sums")
+    stats = sums.select("item_id", F.try_divide("s", "n").alias("avg_rating"),
+                        F.col("n").alias("n_ratings"))
+    out("item_averages", item_report_lines(R.with_titles(stats, items), min_count))
 
     genres = R.explode_genres(items, genre_separator)
     out("genre_rating_pairs", R.genre_rating_pairs(ratings, genres))
-    by_genre = R.rating_avg_by_genre(ratings, genres)
+    by_genre = sums.join(genres, "item_id", "inner").groupBy("genre").agg(
+        F.try_divide(F.sum("s"), F.sum("n")).alias("avg_rating"), F.sum("n").alias("n_ratings"))
     out("genre_averages", by_genre.select(
         "genre", fmt.item_line("avg_rating", "n_ratings").alias("value")))
 
-    by_gender = R.rating_avg_by_gender(ratings, users, items)
-    out("gender_averages", by_gender.select(
-        "title", fmt.gender_line("male_avg", "female_avg").alias("value")))
-
     groups = R.age_group_names(age_bounds)
-    by_age = R.rating_avg_by_age_group(ratings, users, items, age_bounds)
-    out("age_group_averages", by_age.select(
+    rated = R.rate_by_users(ratings, users, "gender", "age")
+    per_user_group = materialize(rated.groupBy("item_id").agg(
+        *R.gender_average_columns(), *R.age_group_average_columns(age_bounds)),
+        "item_user_groups")
+    titled = R.with_titles(per_user_group, items)
+    out("gender_averages", titled.select(
+        "title", fmt.gender_line("male_avg", "female_avg").alias("value")))
+    out("age_group_averages", titled.select(
         "title", fmt.bucket_line([g for g, _ in groups], [c for _, c in groups]).alias("value")))
     return paths
 
