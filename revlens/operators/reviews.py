@@ -15,7 +15,7 @@ from collections.abc import Collection, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.functions.text import DEFAULT_TOKEN_DELIMITERS, has_visible_char, tokenize
+from revlens.functions.text import DEFAULT_TOKEN_DELIMITERS, delimiter_class, has_visible_char
 from revlens.operators.joins import broadcast_if_bounded
 from revlens.operators.topk import top_k_per_group, top_one
 
@@ -31,10 +31,16 @@ def normalize(reviews: DataFrame) -> DataFrame:
 
 
 def tokens(normalized: DataFrame, delimiters: str = DEFAULT_TOKEN_DELIMITERS) -> DataFrame:
-    """One row per non-blank token, carrying the judgement's other columns."""
+    """One row per non-blank token, carrying the judgement's other columns.
+
+    The raw split may yield empty strings (a leading delimiter); the blank
+    filter after the explode drops them, so no per-document array copy is
+    made to remove them first.
+    """
     keep = [c for c in normalized.columns if c != "review_lc"]
-    exploded = normalized.select(*keep, F.explode(tokenize("review_lc", delimiters)).alias("word"))
-    return exploded.where(F.col("word").isNotNull() & has_visible_char("word"))
+    parts = F.split("review_lc", delimiter_class(delimiters), -1)
+    exploded = normalized.select(*keep, F.explode(parts).alias("word"))
+    return exploded.where(has_visible_char("word"))
 
 
 def stop_word_table(spark: SparkSession, words: Iterable[str]) -> DataFrame:
