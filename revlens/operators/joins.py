@@ -48,6 +48,16 @@ def dedupe_lookup(dim: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def lookup_with_fallback(facts: DataFrame, dim: DataFrame, key: str, value: str) -> DataFrame:
-    """Left join ``value`` by ``key``; a missing value falls back to the key text."""
-    joined = facts.join(dedupe_lookup(dim, key, value), key, "left")
-    return joined.withColumn(value, F.coalesce(F.col(value), F.col(key).cast("string")))
+    """Left join ``value`` by ``key``; a missing value falls back to the key text.
+
+    ``facts`` must hold one row per key (an aggregate).  The raw ``dim`` is
+    joined first and a repeated key is reduced afterwards (largest value
+    wins): the join's output is already partitioned and sorted by the key,
+    so that reduction needs no shuffle and no sort, and ``dim`` is shuffled
+    once with no aggregate of its own.
+    """
+    joined = facts.join(dim.select(key, value), key, "left")
+    others = [c for c in facts.columns if c != key]
+    reduced = joined.groupBy(key).agg(*[F.any_value(c).alias(c) for c in others],
+                                      F.max(value).alias(value))
+    return reduced.withColumn(value, F.coalesce(F.col(value), F.col(key).cast("string")))
