@@ -42,9 +42,13 @@ def main() -> None:
         text = re.sub(r"#\d+L?", "", text)
         text = text.replace(CTRL, "<U+0000..U+0020>")
         text = re.sub(r"[\x00-\x08\x0b-\x1f]", lambda m: f"\\x{ord(m.group()):02x}", text)
-        shuffles = text.count("Exchange hashpartitioning") + text.count("Exchange RoundRobin") \
-            + text.count("Exchange SinglePartition")
-        print(f"## {name}\n\nExchanges: {shuffles}\n\n```\n{text}\n```\n")
+        lines = text.splitlines()
+        shuffles = sum(1 for ln in lines if re.search(r"(^|[-:] )Exchange ", ln)
+                       and "ReusedExchange" not in ln)
+        broadcasts = sum(1 for ln in lines if "BroadcastExchange" in ln)
+        reused = sum(1 for ln in lines if "ReusedExchange" in ln)
+        print(f"## {name}\n\nShuffle exchanges: {shuffles}; broadcast exchanges: {broadcasts}; "
+              f"reused exchanges: {reused}\n\n```\n{text}\n```\n")
     spark.stop()
 
 
