@@ -44,8 +44,10 @@ def tokens(normalized: DataFrame, delimiters: str = DEFAULT_TOKEN_DELIMITERS) ->
 
 
 def stop_word_table(spark: SparkSession, words: Iterable[str]) -> DataFrame:
-    """A ``word`` table from an in-code list."""
-    return spark.createDataFrame([(w,) for w in words], "word string")
+    """A one-column ``word`` table from an in-code list, built on the JVM side."""
+    lits = [F.lit(w) for w in words]
+    arr = F.array(*lits) if lits else F.array().cast("array<string>")
+    return spark.range(1).select(F.explode(arr).alias("word"))
 
 
 StopWords = DataFrame | Collection[str]

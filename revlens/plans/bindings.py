@@ -146,5 +146,6 @@ def conversation_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stop_word_table(spark: SparkSession) -> DataFrame:
-    """The in-code stop list as a JVM-side one-column table."""
-    return spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in STOP_WORDS])).alias("word"))
+    """The stop list as a one-column table (for the anti-join form)."""
+    from revlens.operators.reviews import stop_word_table as build
+    return build(spark, STOP_WORDS)
