@@ -134,3 +134,10 @@ def test_best_rated_item_fetches_only_the_winner_title(spark, ratings, items):
     # winner missing from the items table falls back to its id
     assert rows(R.best_rated_item(many.where("item_id = '99'"), items, 1)) == \
         [("99", "99", 1.0, 3)]
+
+
+def test_null_item_id_never_matches_a_title(spark):
+    ratings = spark.createDataFrame([("u", None, 2.0), ("v", None, 4.0)], RATINGS)
+    items = spark.createDataFrame([(None, "Ghost", "A")], ITEMS)
+    assert rows(R.rating_avg_by_item(ratings, items)) == [(None, None, 3.0, 2)]
+    assert R.genre_rating_pairs(ratings, R.explode_genres(items)).count() == 0

@@ -82,3 +82,15 @@ def test_broadcast_only_when_bounded(spark):
     big = spark.range(50).selectExpr("cast(id as string) as word")
     plan = str(broadcast_if_bounded(big, max_rows=20)._jdf.queryExecution().logical()).lower()
     assert "broadcast" not in plan
+
+
+def test_token_kept_untrimmed_after_blank_test(spark):
+    df = spark.createDataFrame([(1, "\x01ab\x02 \x03 ok", "c", "a", "positive")], REVIEWS)
+    words = [w for (w,) in rows(V.clean_words(df, []), "word")]
+    assert words == sorted(["\x01ab\x02", "ok"])
+
+
+def test_null_keys_form_one_group(spark):
+    df = spark.createDataFrame([(1, "x", None, "a", "p"), (2, "y", None, "a", "p"),
+                                (2, "z", "C", "a", "p")], REVIEWS)
+    assert rows(V.comment_counts(df, "category")) == [("C", 1, 1), (None, 2, 2)]
