@@ -23,9 +23,11 @@ def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists",
 
     ``mode='errorifexists'`` refuses an existing folder; ``'overwrite'``
     replaces it.  ``single_file=True`` merges the output into one file; use it
-    only for small results (it funnels the data through one task).
+    only for small results (the final write runs as one task).  It adds a
+    shuffle into one partition rather than ``coalesce(1)``, which would pull
+    the whole upstream computation into that single task.
     """
     lines = tsv_lines(df)
     if single_file:
-        lines = lines.coalesce(1)
+        lines = lines.repartition(1)
     lines.write.mode(mode).text(path)
