@@ -12,9 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.functions import fmt
 from revlens.operators import ratings as R
 from revlens.operators import reviews as V
 from revlens.plans import bindings as B
+from revlens.plans.report import item_report_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -70,6 +72,33 @@ def q_rating_avg_by_age_group(spark: SparkSession, d: str) -> DataFrame:
     return _round(out, *cols)
 
 
+# ------------------------------------------------- ratings as output lines
+
+def q_item_report_lines(spark: SparkSession, d: str) -> DataFrame:
+    per_item = R.rating_avg_by_item(B.ratings(spark, d), B.items(spark, d))
+    return item_report_lines(per_item, B.TOP_ITEM_MIN_COUNT)
+
+
+def q_genre_report_lines(spark: SparkSession, d: str) -> DataFrame:
+    by_genre = R.rating_avg_by_genre(B.ratings(spark, d), _item_genres(spark, d))
+    return by_genre.select(F.col("genre").alias("key"),
+                           fmt.item_line("avg_rating", "n_ratings").alias("value"))
+
+
+def q_gender_report_lines(spark: SparkSession, d: str) -> DataFrame:
+    stats = R.gender_averages(B.rated_by_known_users(spark, d, "gender"))
+    return R.with_titles(stats, B.items(spark, d)).select(
+        F.col("title").alias("key"), fmt.gender_line("male_avg", "female_avg").alias("value"))
+
+
+def q_age_group_report_lines(spark: SparkSession, d: str) -> DataFrame:
+    stats = R.age_group_averages(B.rated_by_known_users(spark, d, "age"), B.AGE_BOUNDS)
+    groups = R.age_group_names(B.AGE_BOUNDS)
+    return R.with_titles(stats, B.items(spark, d)).select(
+        F.col("title").alias("key"),
+        fmt.bucket_line([g for g, _ in groups], [c for _, c in groups]).alias("value"))
+
+
 # ---------------------------------------------------------------- reviews
 
 def _words(spark: SparkSession, d: str, with_sentiment: bool) -> DataFrame:
@@ -133,6 +162,10 @@ def queries() -> dict[str, Query]:
         "rating_avg_by_genre": q_rating_avg_by_genre,
         "rating_avg_by_gender": q_rating_avg_by_gender,
         "rating_avg_by_age_group": q_rating_avg_by_age_group,
+        "item_report_lines": q_item_report_lines,
+        "genre_report_lines": q_genre_report_lines,
+        "gender_report_lines": q_gender_report_lines,
+        "age_group_report_lines": q_age_group_report_lines,
         "clean_words": q_clean_words,
         "word_freq_over": q_word_freq_over,
         "count_by_category": q_count_by_category,
@@ -199,6 +232,44 @@ SELECT s.item_id, coalesce(t.title, CAST(s.item_id AS VARCHAR)) AS title, {outs}
 FROM s LEFT JOIN t ON s.item_id = t.item_id"""
 
 
+def _fmt2(x: str) -> str:
+    """Java's ``%.2f``: half-up rounding of the shortest decimal form of a double."""
+    return f"printf('%.2f', round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), 2))"
+
+
+def _item_lines_sql() -> str:
+    no_top = fmt.NO_TOP_ITEM_LINE % B.TOP_ITEM_MIN_COUNT
+    return f"""WITH {_PER_ITEM},
+  best AS (SELECT * FROM it
+           WHERE n_ratings >= {B.TOP_ITEM_MIN_COUNT} AND NOT isnan(avg_rating)
+           ORDER BY avg_rating DESC, CAST(item_id AS VARCHAR) ASC LIMIT 1)
+SELECT title AS key, {_fmt2('avg_rating')} || ' (TotalRatings: ' || n_ratings || ')' AS value
+FROM it
+UNION ALL
+SELECT '{fmt.TOP_ITEM_KEY}' AS key,
+       CASE WHEN best.item_id IS NULL THEN '{no_top}'
+            ELSE best.title || ' (Average: ' || {_fmt2('best.avg_rating')} || ')' END AS value
+FROM (SELECT 1 AS one) d LEFT JOIN best ON TRUE"""
+
+
+def _age_lines_sql() -> str:
+    names = R.age_group_names(B.AGE_BOUNDS)
+    parts = []
+    for i, (_, name) in enumerate(names):
+        cond = f"age >= {B.AGE_BOUNDS[i]}"
+        if i + 1 < len(B.AGE_BOUNDS):
+            cond += f" AND age < {B.AGE_BOUNDS[i + 1]}"
+        parts.append(f"coalesce(avg(CASE WHEN {cond} THEN rating END), 0.0) AS {name}")
+    aggs = ",\n       ".join(parts)
+    text = " || ', ' || ".join(f"'{label}: ' || {_fmt2('s.' + name)}" for label, name in names)
+    return f"""WITH {_USERS},
+  s AS (SELECT item_id,
+       {aggs}
+        FROM ru GROUP BY item_id)
+SELECT coalesce(t.title, CAST(s.item_id AS VARCHAR)) AS key, '[' || {text} || ']' AS value
+FROM s LEFT JOIN t ON s.item_id = t.item_id"""
+
+
 _DELIMS = "[ \\t\\n\\x0B\\f\\r\",()*]+"
 _STOPS = ", ".join("'" + w.replace("'", "''") + "'" for w in B.STOP_WORDS)
 _REVIEWS = """
@@ -262,6 +333,19 @@ SELECT s.item_id, coalesce(t.title, CAST(s.item_id AS VARCHAR)) AS title,
        round(s.male_avg, {DIGITS}) AS male_avg, round(s.female_avg, {DIGITS}) AS female_avg
 FROM s LEFT JOIN t ON s.item_id = t.item_id""",
         "rating_avg_by_age_group": _age_sql(),
+        "item_report_lines": _item_lines_sql(),
+        "genre_report_lines": f"""WITH {_GENRE_PAIRS},
+  g2 AS (SELECT genre, avg(rating) AS a, count(rating) AS n FROM pairs GROUP BY genre)
+SELECT genre AS key, {_fmt2('a')} || ' (TotalRatings: ' || n || ')' AS value FROM g2""",
+        "gender_report_lines": f"""WITH {_USERS},
+  s AS (SELECT item_id,
+               coalesce(avg(CASE WHEN upper(gender) = 'M' THEN rating END), 0.0) AS m,
+               coalesce(avg(CASE WHEN upper(gender) = 'F' THEN rating END), 0.0) AS f
+        FROM ru GROUP BY item_id)
+SELECT coalesce(t.title, CAST(s.item_id AS VARCHAR)) AS key,
+       'Male_Avg: ' || {_fmt2('s.m')} || ', Female_Avg: ' || {_fmt2('s.f')} AS value
+FROM s LEFT JOIN t ON s.item_id = t.item_id""",
+        "age_group_report_lines": _age_lines_sql(),
         "clean_words": f"""WITH {_WORDS}
 SELECT rid, category, aspect, sentiment, word FROM words""",
         "word_freq_over": f"""WITH {_WORDS}
