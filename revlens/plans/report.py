@@ -97,7 +97,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def reviews_report(reviews: DataFrame, stop_words: DataFrame, out_dir: str,
+def reviews_report(reviews: DataFrame, stop_words: V.StopWords, out_dir: str,
                    threshold: int = 500, k: int = 5,
                    delimiters: str = DEFAULT_TOKEN_DELIMITERS, mode: str = "overwrite",
                    single_file: bool = False,
@@ -105,7 +105,13 @@ def reviews_report(reviews: DataFrame, stop_words: DataFrame, out_dir: str,
     """Write the nine review outputs; returns ``{name: path}``.
 
     ``judgements`` (``rid, aspect``) feeds the per-aspect comment counts;
-    it defaults to ``reviews``.
+    it defaults to ``reviews``.  ``stop_words`` is a ``word`` table or an
+    in-code list.
+
+    The token relation itself is never stored as an intermediate: it is
+    larger than the text, so writing and re-reading it on shared storage
+    would cost more than tokenising twice (once for the ``words`` output,
+    once for the shared counts).
     """
     paths = {name: f"{out_dir}/{name}" for name in REVIEWS_OUTPUTS}
 
