@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.text import java_split, java_trim
 from revlens.operators.joins import lookup_with_fallback
+from revlens.operators.skew import salted_join
 
 GENRE_SEPARATOR = r"\|"
 
@@ -84,12 +85,20 @@ def explode_genres(items: DataFrame, separator: str = GENRE_SEPARATOR) -> DataFr
                  .select("item_id", java_trim("genre").alias("genre")))
 
 
-def genre_rating_pairs(ratings: DataFrame, item_genres: DataFrame) -> DataFrame:
+def genre_rating_pairs(ratings: DataFrame, item_genres: DataFrame,
+                       salt_buckets: int | None = None) -> DataFrame:
     """``genre, rating`` for every (genre of the item) x (rating of the item).
 
     Inner join: ratings of unknown items and items without ratings drop out.
+    A hot item is split at runtime by AQE's skew join; ``salt_buckets``
+    salts items holding more than ``1/salt_buckets`` of the ratings by hand
+    instead (for sessions without AQE), with the same result.
     """
-    return ratings.join(item_genres, "item_id", "inner").select("genre", "rating")
+    if salt_buckets:
+        joined = salted_join(ratings, item_genres, "item_id", salt_buckets)
+    else:
+        joined = ratings.join(item_genres, "item_id", "inner")
+    return joined.select("genre", "rating")
 
 
 def rating_avg_by_genre(ratings: DataFrame, item_genres: DataFrame) -> DataFrame:
@@ -107,9 +116,17 @@ def rating_avg_by_genre(ratings: DataFrame, item_genres: DataFrame) -> DataFrame
         F.sum("n").alias("n_ratings"))
 
 
-def rate_by_users(ratings: DataFrame, users: DataFrame, *user_cols: str) -> DataFrame:
-    """Inner join ratings to user attributes; ratings of unknown users drop out."""
-    return ratings.join(users.select("user_id", *user_cols), "user_id", "inner")
+def rate_by_users(ratings: DataFrame, users: DataFrame, *user_cols: str,
+                  salt_buckets: int | None = None) -> DataFrame:
+    """Inner join ratings to user attributes; ratings of unknown users drop out.
+
+    ``salt_buckets`` salts users holding more than ``1/salt_buckets`` of the
+    ratings (see ``genre_rating_pairs``).
+    """
+    side = users.select("user_id", *user_cols)
+    if salt_buckets:
+        return salted_join(ratings, side, "user_id", salt_buckets)
+    return ratings.join(side, "user_id", "inner")
 
 
 def gender_average_columns(male: str = "M", female: str = "F") -> list[Column]:
