@@ -34,7 +34,7 @@ def item_averages(ratings: DataFrame, items: DataFrame) -> DataFrame:
                   .withColumn("title", F.coalesce("title", F.col("item_id").cast("string"))))
 
 
-def word_frequencies(reviews: DataFrame, stop_words: DataFrame,
+def word_frequencies(reviews: DataFrame, stop_words: V.StopWords,
                      delimiters: str = DEFAULT_TOKEN_DELIMITERS) -> DataFrame:
     """Running ``word, freq`` over a review stream (filter the threshold at read)."""
     words = V.clean_words(reviews, stop_words, delimiters)
@@ -45,29 +45,43 @@ def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:
     return location or f"{ensure_checkpoint_dir(spark)}/streams/{name}"
 
 
-def start_item_averages(spark: SparkSession, ratings_dir: str, items: DataFrame,
-                        table: str, checkpoint: str | None = None,
-                        available_now: bool = False) -> StreamingQuery:
-    """Stream rating text files from ``ratings_dir`` into the memory table ``table``."""
-    lines = spark.readStream.format("text").load(ratings_dir)
-    out = item_averages(parse_ratings(lines), items)
-    writer = (out.writeStream.outputMode("complete").format("memory").queryName(table)
+def _start(out: DataFrame, spark: SparkSession, table: str, checkpoint: str | None,
+           sink_path: str | None, available_now: bool) -> StreamingQuery:
+    """Complete-mode output to the memory table ``table``, or to ``sink_path``.
+
+    With ``sink_path`` every micro-batch overwrites a parquet folder with the
+    full current result; replaying a batch after a failure writes the same
+    rows again, so the sink is idempotent.
+    """
+    writer = (out.writeStream.outputMode("complete").queryName(table)
                  .option("checkpointLocation", _checkpoint(spark, table, checkpoint)))
+    if sink_path is None:
+        writer = writer.format("memory")
+    else:
+        writer = writer.foreachBatch(
+            lambda batch, _epoch: batch.write.mode("overwrite").parquet(sink_path))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def start_word_frequencies(spark: SparkSession, reviews_dir: str, stop_words: DataFrame,
+def start_item_averages(spark: SparkSession, ratings_dir: str, items: DataFrame,
+                        table: str, checkpoint: str | None = None,
+                        available_now: bool = False,
+                        sink_path: str | None = None) -> StreamingQuery:
+    """Stream rating text files from ``ratings_dir`` into ``table`` (or ``sink_path``)."""
+    lines = spark.readStream.format("text").load(ratings_dir)
+    out = item_averages(parse_ratings(lines), items)
+    return _start(out, spark, table, checkpoint, sink_path, available_now)
+
+
+def start_word_frequencies(spark: SparkSession, reviews_dir: str, stop_words: V.StopWords,
                            table: str, checkpoint: str | None = None,
                            delimiters: str = DEFAULT_TOKEN_DELIMITERS,
-                           available_now: bool = False) -> StreamingQuery:
-    """Stream ``;``-separated review files into the memory table ``table``."""
+                           available_now: bool = False,
+                           sink_path: str | None = None) -> StreamingQuery:
+    """Stream ``;``-separated review files into ``table`` (or ``sink_path``)."""
     reviews = (spark.readStream.schema(REVIEW_SCHEMA).option("sep", ";").option("quote", "")
                     .csv(reviews_dir))
     out = word_frequencies(reviews, stop_words, delimiters)
-    writer = (out.writeStream.outputMode("complete").format("memory").queryName(table)
-                 .option("checkpointLocation", _checkpoint(spark, table, checkpoint)))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return _start(out, spark, table, checkpoint, sink_path, available_now)

@@ -27,3 +27,16 @@ def test_word_frequency_stream(spark, tmp_path):
                                checkpoint=str(tmp_path / "ck"), available_now=True)
     q.awaitTermination(120)
     assert rows(spark.table("word_freq_stream")) == [("phòng", 1), ("đẹp", 3)]
+
+
+def test_item_averages_stream_to_parquet_sink(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("u1, 10, 4.0\nu2, 10, 2.0\n")
+    items = spark.createDataFrame([("10", "Heat", "Action")],
+                                  "item_id string, title string, genres string")
+    sink = str(tmp_path / "sink")
+    q = start_item_averages(spark, str(src), items, "item_avg_sink",
+                            checkpoint=str(tmp_path / "ck"), available_now=True, sink_path=sink)
+    q.awaitTermination(120)
+    assert rows(spark.read.parquet(sink)) == [("10", "Heat", 3.0, 2)]
