@@ -79,10 +79,14 @@ def best_rated_item(ratings: DataFrame, items: DataFrame, min_count: int = 5) ->
 
 
 def explode_genres(items: DataFrame, separator: str = GENRE_SEPARATOR) -> DataFrame:
-    """``item_id, genre``: one row per listed genre (repeats kept, trimmed)."""
+    """``item_id, genre``: one row per listed genre, repeats kept.
+
+    The genres text is trimmed as a whole, but each genre keeps its own
+    surrounding spaces here, as in the (genre, rating) pairs output; the
+    per-genre average trims names when it groups them.
+    """
     genres = java_split(java_trim("genres"), separator)
-    return (items.select("item_id", F.explode(genres).alias("genre"))
-                 .select("item_id", java_trim("genre").alias("genre")))
+    return items.select("item_id", F.explode(genres).alias("genre"))
 
 
 def genre_rating_pairs(ratings: DataFrame, item_genres: DataFrame,
@@ -111,7 +115,7 @@ def rating_avg_by_genre(ratings: DataFrame, item_genres: DataFrame) -> DataFrame
     per_item = ratings.groupBy("item_id").agg(
         F.sum("rating").alias("s"), F.count("rating").alias("n"))
     joined = per_item.join(item_genres, "item_id", "inner")
-    return joined.groupBy("genre").agg(
+    return joined.groupBy(java_trim("genre").alias("genre")).agg(
         F.try_divide(F.sum("s"), F.sum("n")).alias("avg_rating"),
         F.sum("n").alias("n_ratings"))
 

@@ -196,7 +196,7 @@ _PER_ITEM = f"""
          FROM a LEFT JOIN t ON a.item_id = t.item_id)"""
 _GENRE_PAIRS = f"""
   r AS ({_RATINGS}),
-  g AS (SELECT item_id, trim(genre) AS genre FROM
+  g AS (SELECT item_id, genre FROM
           (SELECT p_partkey AS item_id,
                   unnest(string_split(p_name, '{B.ITEM_GENRE_SEPARATOR}')) AS genre FROM part)),
   pairs AS (SELECT g.genre, r.rating FROM r JOIN g ON r.item_id = g.item_id)"""
@@ -322,8 +322,9 @@ FROM (SELECT 1 AS one) d LEFT JOIN best ON TRUE""",
         "genre_rating_pairs": f"""WITH {_GENRE_PAIRS}
 SELECT genre, rating FROM pairs""",
         "rating_avg_by_genre": f"""WITH {_GENRE_PAIRS}
-SELECT genre, round(avg(rating), {DIGITS}) AS avg_rating, count(rating) AS n_ratings
-FROM pairs GROUP BY genre""",
+SELECT trim(genre) AS genre, round(avg(rating), {DIGITS}) AS avg_rating,
+       count(rating) AS n_ratings
+FROM pairs GROUP BY trim(genre)""",
         "rating_avg_by_gender": f"""WITH {_USERS},
   s AS (SELECT item_id,
                coalesce(avg(CASE WHEN upper(gender) = 'M' THEN rating END), 0.0) AS male_avg,
@@ -335,7 +336,8 @@ FROM s LEFT JOIN t ON s.item_id = t.item_id""",
         "rating_avg_by_age_group": _age_sql(),
         "item_report_lines": _item_lines_sql(),
         "genre_report_lines": f"""WITH {_GENRE_PAIRS},
-  g2 AS (SELECT genre, avg(rating) AS a, count(rating) AS n FROM pairs GROUP BY genre)
+  g2 AS (SELECT trim(genre) AS genre, avg(rating) AS a, count(rating) AS n
+         FROM pairs GROUP BY trim(genre))
 SELECT genre AS key, {_fmt2('a')} || ' (TotalRatings: ' || n || ')' AS value FROM g2""",
         "gender_report_lines": f"""WITH {_USERS},
   s AS (SELECT item_id,

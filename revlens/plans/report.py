@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions import fmt
-from revlens.functions.text import DEFAULT_TOKEN_DELIMITERS
+from revlens.functions.text import DEFAULT_TOKEN_DELIMITERS, java_trim
 from revlens.operators import ratings as R
 from revlens.operators import reviews as V
 from revlens.session import ensure_checkpoint_dir
@@ -71,7 +71,8 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
 
     genres = R.explode_genres(items, genre_separator)
     out("genre_rating_pairs", R.genre_rating_pairs(ratings, genres))
-    by_genre = sums.join(genres, "item_id", "inner").groupBy("genre").agg(
+    by_genre = sums.join(genres, "item_id", "inner").groupBy(
+        java_trim("genre").alias("genre")).agg(
         F.try_divide(F.sum("s"), F.sum("n")).alias("avg_rating"), F.sum("n").alias("n_ratings"))
     out("genre_averages", by_genre.select(
         "genre", fmt.item_line("avg_rating", "n_ratings").alias("value")))
