@@ -1,5 +1,5 @@
 """DataFrame -> DataFrame operators."""
 
-from revlens.operators import joins, ratings, reviews, topk
+from revlens.operators import joins, ratings, reviews, skew, topk
 
-__all__ = ["joins", "ratings", "reviews", "topk"]
+__all__ = ["joins", "ratings", "reviews", "skew", "topk"]
