@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--keep-existing", action="store_true",
                    help="fail instead of replacing existing output folders")
     r.add_argument("--single-file", action="store_true")
+    r.add_argument("--salt-buckets", type=int, default=None,
+                   help="salt hot items/users over N tasks (for sessions without AQE)")
 
     v = sub.add_parser("reviews", help="word and comment statistics of reviews")
     v.add_argument("--reviews", required=True)
@@ -67,7 +69,7 @@ def main(argv: list[str] | None = None) -> None:
         paths = run_ratings_files(spark, a.ratings, a.items, a.users, a.out,
                                   min_count=a.min_count, age_bounds=bounds,
                                   mode="errorifexists" if a.keep_existing else "overwrite",
-                                  single_file=a.single_file)
+                                  single_file=a.single_file, salt_buckets=a.salt_buckets)
     elif a.cmd == "reviews":
         from revlens.plans.report import run_reviews_files
         paths = run_reviews_files(spark, a.reviews, a.stop_words, a.out, quoting=a.quoting,

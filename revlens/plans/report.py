@@ -49,9 +49,13 @@ def item_report_lines(per_item: DataFrame, min_count: int) -> DataFrame:
 def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_dir: str,
                    min_count: int = 5, age_bounds: Sequence[float] = (0, 18, 35, 50),
                    genre_separator: str = R.GENRE_SEPARATOR, mode: str = "overwrite",
-                   single_file: bool = False) -> dict[str, str]:
+                   single_file: bool = False,
+                   salt_buckets: int | None = None) -> dict[str, str]:
     """Write the five rating outputs; returns ``{name: path}``.
 
+    ``salt_buckets`` salts hot items in the (genre, rating) pairs join and
+    hot users in the users join, for sessions without AQE skew handling.
+
     Three passes over the ratings instead of five: one (sum, count) row per
     item feeds the item lines, the best item and the genre averages; one
     join to the users feeds both the gender and the age-group averages; the
@@ -70,7 +74,7 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
     out("item_averages", item_report_lines(R.with_titles(stats, items), min_count))
 
     genres = R.explode_genres(items, genre_separator)
-    out("genre_rating_pairs", R.genre_rating_pairs(ratings, genres))
+    out("genre_rating_pairs", R.genre_rating_pairs(ratings, genres, salt_buckets))
     by_genre = sums.join(genres, "item_id", "inner").groupBy(
         java_trim("genre").alias("genre")).agg(
         F.try_divide(F.sum("s"), F.sum("n")).alias("avg_rating"), F.sum("n").alias("n_ratings"))
@@ -78,7 +82,7 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
         "genre", fmt.item_line("avg_rating", "n_ratings").alias("value")))
 
     groups = R.age_group_names(age_bounds)
-    rated = R.rate_by_users(ratings, users, "gender", "age")
+    rated = R.rate_by_users(ratings, users, "gender", "age", salt_buckets=salt_buckets)
     per_user_group = materialize(rated.groupBy("item_id").agg(
         *R.gender_average_columns(), *R.age_group_average_columns(age_bounds)),
         "item_user_groups")
