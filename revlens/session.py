@@ -52,9 +52,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     shared storage).  Only a local-mode session without one gets a fresh
     temporary folder, as in tests.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver context, the setting is all there is
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)

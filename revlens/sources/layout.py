@@ -18,7 +18,11 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
     """
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if 2 * df.rdd.getNumPartitions() > target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): keep the layout
+        return df
+    if 2 * splits > target:
         return df
     return df.repartition(target)
