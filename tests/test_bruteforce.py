@@ -2,7 +2,6 @@
 
 from collections import defaultdict
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
