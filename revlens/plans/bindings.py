@@ -128,15 +128,18 @@ def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True,
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("rid"), F.col("text").alias("review"),
         F.col("source").alias("category"), F.col("lang").alias("aspect"))
+    out = docs
+    if with_sentiment:
+        labels = table(spark, sf_dir, "labels").select(
+            F.col("doc_id").alias("rid"), "quality", "toxic", F.lit(True).alias("_labelled"))
+        joined = docs.join(labels, "rid", "left")
+        out = joined.select("rid", "review", "category", "aspect",
+                            _sentiment(F.col("_labelled").isNotNull()).alias("sentiment"))
     if spread:
-        docs = spread_small_input(docs)
-    if not with_sentiment:
-        return docs
-    labels = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("rid"), "quality", "toxic", F.lit(True).alias("_labelled"))
-    joined = docs.join(labels, "rid", "left")
-    return joined.select("rid", "review", "category", "aspect",
-                         _sentiment(F.col("_labelled").isNotNull()).alias("sentiment"))
+        # spread above the labels join: a sentiment filter downstream is
+        # pushed into the join, so only the matching documents are moved
+        out = spread_small_input(out, probe=docs)
+    return out
 
 
 def conversation_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:

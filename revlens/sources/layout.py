@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread_small_input(df: DataFrame, min_partitions: int | None = None,
+                       probe: DataFrame | None = None) -> DataFrame:
     """Round-robin ``df`` over the cluster's cores when its scan is badly under-split.
 
     A scan task cannot split a parquet row group, so a small input stored as
@@ -13,14 +14,17 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
     task.  The repartition fires only when the scan has at most half as many
     splits as there are cores, i.e. when the input is small (a large input
     has one split per 128 MB and is returned unchanged) and spreading at
-    least doubles the parallelism of the heavy per-row work.  Call it on a
-    scan, before any shuffle.  Round-robin is even whatever the key skew.
+    least doubles the parallelism of the heavy per-row work.  The split
+    count is read from ``probe`` (default ``df``), which must be a scan with
+    no shuffle below it; ``df`` may be built on top of it, e.g. after a
+    broadcast join whose filter should apply before rows are moved.
+    Round-robin is even whatever the key skew.
     """
     if df.isStreaming:
         return df
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
+        splits = (probe if probe is not None else df).rdd.getNumPartitions()
     except Exception:  # no RDD access (e.g. a Spark Connect session): keep the layout
         return df
     if 2 * splits > target:
