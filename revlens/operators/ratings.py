@@ -133,31 +133,47 @@ def rate_by_users(ratings: DataFrame, users: DataFrame, *user_cols: str,
     return ratings.join(side, "user_id", "inner")
 
 
-def gender_average_columns(male: str = "M", female: str = "F") -> list[Column]:
-    """``male_avg, female_avg`` aggregates over rows carrying ``gender``.
+MALE_SIDE, FEMALE_SIDE = 1, 2
 
-    Labels match case-insensitively; other labels count for neither side,
-    and an empty side is 0.0.
+
+def gender_sides(users: DataFrame, male: str = "M", female: str = "F") -> DataFrame:
+    """``user_id, gender_side``: 1 for ``male``, 2 for ``female``, null otherwise.
+
+    Labels match case-insensitively.  Coding the side once per user keeps
+    the comparison off the rating rows and ships a tinyint, not a label,
+    through the joins.
     """
     g = F.upper(F.col("gender"))
+    side = (F.when(g == male.upper(), F.lit(MALE_SIDE))
+             .when(g == female.upper(), F.lit(FEMALE_SIDE))).cast("tinyint")
+    keep = [c for c in users.columns if c not in ("user_id", "gender", "gender_side")]
+    return users.select("user_id", side.alias("gender_side"), *keep)
+
+
+def gender_average_columns() -> list[Column]:
+    """``male_avg, female_avg`` aggregates over rows carrying ``gender_side``.
+
+    Other users count for neither side, and an empty side is 0.0.
+    """
+    side = F.col("gender_side")
 
-    def side(label: str, name: str) -> Column:
-        return F.coalesce(F.avg(F.when(g == label.upper(), F.col("rating"))),
-                          F.lit(0.0)).alias(name)
+    def avg_of(code: int, name: str) -> Column:
+        return F.coalesce(F.avg(F.when(side == code, F.col("rating"))), F.lit(0.0)).alias(name)
 
-    return [side(male, "male_avg"), side(female, "female_avg")]
+    return [avg_of(MALE_SIDE, "male_avg"), avg_of(FEMALE_SIDE, "female_avg")]
 
 
-def gender_averages(rated: DataFrame, male: str = "M", female: str = "F") -> DataFrame:
-    """``item_id, male_avg, female_avg`` from ratings carrying ``gender``."""
-    return rated.groupBy("item_id").agg(*gender_average_columns(male, female))
+def gender_averages(rated: DataFrame) -> DataFrame:
+    """``item_id, male_avg, female_avg`` from ratings carrying ``gender_side``."""
+    return rated.groupBy("item_id").agg(*gender_average_columns())
 
 
 def rating_avg_by_gender(ratings: DataFrame, users: DataFrame, items: DataFrame,
                          male: str = "M", female: str = "F") -> DataFrame:
     """``item_id, title, male_avg, female_avg`` for items rated by known users."""
-    stats = gender_averages(rate_by_users(ratings, users, "gender"), male, female)
-    return with_titles(stats, items).select("item_id", "title", "male_avg", "female_avg")
+    rated = rate_by_users(ratings, gender_sides(users, male, female), "gender_side")
+    return with_titles(gender_averages(rated), items).select(
+        "item_id", "title", "male_avg", "female_avg")
 
 
 def age_group_names(bounds: Sequence[float]) -> list[tuple[str, str]]:

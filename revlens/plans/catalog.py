@@ -57,7 +57,7 @@ def q_rating_avg_by_genre(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_rating_avg_by_gender(spark: SparkSession, d: str) -> DataFrame:
-    rated = B.rated_by_known_users(spark, d, "gender")
+    rated = B.rated_by_known_users(spark, d, "gender_side")
     stats = R.gender_averages(rated)
     out = R.with_titles(stats, B.items(spark, d)).select(
         "item_id", "title", "male_avg", "female_avg")
@@ -86,7 +86,7 @@ def q_genre_report_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_gender_report_lines(spark: SparkSession, d: str) -> DataFrame:
-    stats = R.gender_averages(B.rated_by_known_users(spark, d, "gender"))
+    stats = R.gender_averages(B.rated_by_known_users(spark, d, "gender_side"))
     return R.with_titles(stats, B.items(spark, d)).select(
         F.col("title").alias("key"), fmt.gender_line("male_avg", "female_avg").alias("value"))
 
