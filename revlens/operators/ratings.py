@@ -176,8 +176,14 @@ def rating_avg_by_gender(ratings: DataFrame, users: DataFrame, items: DataFrame,
         "item_id", "title", "male_avg", "female_avg")
 
 
+def _check_bounds(bounds: Sequence[float]) -> None:
+    if not bounds or list(bounds) != sorted(bounds) or len(set(bounds)) != len(bounds):
+        raise ValueError("age bounds must be strictly increasing")
+
+
 def age_group_names(bounds: Sequence[float]) -> list[tuple[str, str]]:
     """``(label, column)`` per half-open group ``[b_i, b_i+1)`` and ``[b_last, inf)``."""
+    _check_bounds(bounds)
     out = []
     for i, lo in enumerate(bounds):
         if i + 1 < len(bounds):
@@ -188,33 +194,42 @@ def age_group_names(bounds: Sequence[float]) -> list[tuple[str, str]]:
     return out
 
 
-def age_group_average_columns(bounds: Sequence[float] = (0, 18, 35, 50)) -> list[Column]:
-    """``avg_<lo>_<hi> ...`` aggregates over rows carrying ``age``.
+def age_groups(users: DataFrame, bounds: Sequence[float] = (0, 18, 35, 50)) -> DataFrame:
+    """``user_id, age_group``: index of the user's half-open group, null if none.
 
-    Groups are half-open, so an age on a boundary belongs to the upper
-    group; ages below the first bound fall in no group.  An empty group is
-    null.  Every group is a conditional average, so all take one pass.
+    An age on a boundary belongs to the upper group; ages below the first
+    bound (or null) fall in no group.  Computed once per user, so rating
+    rows only compare a tinyint.
     """
-    if list(bounds) != sorted(bounds) or len(set(bounds)) != len(bounds):
-        raise ValueError("age bounds must be strictly increasing")
+    _check_bounds(bounds)
     age = F.col("age")
-    aggs = []
-    for i, (_, name) in enumerate(age_group_names(bounds)):
+    expr = None
+    for i in range(len(bounds) - 1, -1, -1):
         cond = age >= bounds[i]
-        if i + 1 < len(bounds):
-            cond = cond & (age < bounds[i + 1])
-        aggs.append(F.avg(F.when(cond, F.col("rating"))).alias(name))
-    return aggs
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    keep = [c for c in users.columns if c not in ("user_id", "age", "age_group")]
+    return users.select("user_id", expr.cast("tinyint").alias("age_group"), *keep)
+
+
+def age_group_average_columns(bounds: Sequence[float] = (0, 18, 35, 50)) -> list[Column]:
+    """``avg_<lo>_<hi> ...`` aggregates over rows carrying ``age_group``.
+
+    An empty group is null.  Every group is a conditional average, so all
+    take one pass.
+    """
+    group = F.col("age_group")
+    return [F.avg(F.when(group == i, F.col("rating"))).alias(name)
+            for i, (_, name) in enumerate(age_group_names(bounds))]
 
 
 def age_group_averages(rated: DataFrame, bounds: Sequence[float] = (0, 18, 35, 50)) -> DataFrame:
-    """``item_id, avg_<lo>_<hi> ...`` from ratings carrying ``age``."""
+    """``item_id, avg_<lo>_<hi> ...`` from ratings carrying ``age_group``."""
     return rated.groupBy("item_id").agg(*age_group_average_columns(bounds))
 
 
 def rating_avg_by_age_group(ratings: DataFrame, users: DataFrame, items: DataFrame,
                             bounds: Sequence[float] = (0, 18, 35, 50)) -> DataFrame:
     """``item_id, title, avg_<group>...`` for items rated by known users."""
-    stats = age_group_averages(rate_by_users(ratings, users, "age"), bounds)
+    rated = rate_by_users(ratings, age_groups(users, bounds), "age_group")
     cols = [name for _, name in age_group_names(bounds)]
-    return with_titles(stats, items).select("item_id", "title", *cols)
+    return with_titles(age_group_averages(rated, bounds), items).select("item_id", "title", *cols)

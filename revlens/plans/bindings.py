@@ -98,10 +98,12 @@ def rated_by_known_users(spark: SparkSession, sf_dir: str, *user_cols: str) -> D
     Equal to ``ratings_with_user`` inner-joined to ``users``, but joins
     orders to users first so the rating-sized side is shuffled once.
     """
+    from revlens.operators.ratings import age_groups, gender_sides
     people = users(spark, sf_dir)
     if "gender_side" in user_cols:
-        from revlens.operators.ratings import gender_sides
         people = gender_sides(people)
+    if "age_group" in user_cols:
+        people = age_groups(people, AGE_BOUNDS)
     known = order_users(spark, sf_dir).join(
         people.select("user_id", *user_cols), "user_id", "inner")
     return ratings(spark, sf_dir).join(known, "order_key", "inner").select(

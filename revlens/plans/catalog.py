@@ -65,7 +65,7 @@ def q_rating_avg_by_gender(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_rating_avg_by_age_group(spark: SparkSession, d: str) -> DataFrame:
-    rated = B.rated_by_known_users(spark, d, "age")
+    rated = B.rated_by_known_users(spark, d, "age_group")
     stats = R.age_group_averages(rated, B.AGE_BOUNDS)
     cols = [name for _, name in R.age_group_names(B.AGE_BOUNDS)]
     out = R.with_titles(stats, B.items(spark, d)).select("item_id", "title", *cols)
@@ -92,7 +92,7 @@ def q_gender_report_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_age_group_report_lines(spark: SparkSession, d: str) -> DataFrame:
-    stats = R.age_group_averages(B.rated_by_known_users(spark, d, "age"), B.AGE_BOUNDS)
+    stats = R.age_group_averages(B.rated_by_known_users(spark, d, "age_group"), B.AGE_BOUNDS)
     groups = R.age_group_names(B.AGE_BOUNDS)
     return R.with_titles(stats, B.items(spark, d)).select(
         F.col("title").alias("key"),

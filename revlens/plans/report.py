@@ -82,7 +82,8 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
         "genre", fmt.item_line("avg_rating", "n_ratings").alias("value")))
 
     groups = R.age_group_names(age_bounds)
-    rated = R.rate_by_users(ratings, R.gender_sides(users), "gender_side", "age",
+    people = R.age_groups(R.gender_sides(users), age_bounds)
+    rated = R.rate_by_users(ratings, people, "gender_side", "age_group",
                             salt_buckets=salt_buckets)
     per_user_group = materialize(rated.groupBy("item_id").agg(
         *R.gender_average_columns(), *R.age_group_average_columns(age_bounds)),

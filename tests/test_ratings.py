@@ -126,6 +126,8 @@ def test_age_groups_half_open(spark, items):
 def test_age_bounds_must_increase(spark, ratings):
     with pytest.raises(ValueError):
         R.age_group_averages(ratings, (0, 50, 18))
+    with pytest.raises(ValueError):
+        R.age_groups(ratings, (18, 18))
 
 
 def test_best_rated_item_fetches_only_the_winner_title(spark, ratings, items):
