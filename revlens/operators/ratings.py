@@ -143,6 +143,8 @@ def gender_sides(users: DataFrame, male: str = "M", female: str = "F") -> DataFr
     the comparison off the rating rows and ships a tinyint, not a label,
     through the joins.
     """
+    if male.upper() == female.upper():
+        raise ValueError("male and female labels must differ (case-insensitively)")
     g = F.upper(F.col("gender"))
     side = (F.when(g == male.upper(), F.lit(MALE_SIDE))
              .when(g == female.upper(), F.lit(FEMALE_SIDE))).cast("tinyint")
@@ -199,7 +201,7 @@ def age_groups(users: DataFrame, bounds: Sequence[float] = (0, 18, 35, 50)) -> D
 
     An age on a boundary belongs to the upper group; ages below the first
     bound (or null) fall in no group.  Computed once per user, so rating
-    rows only compare a tinyint.
+    rows only compare a small integer.
     """
     _check_bounds(bounds)
     age = F.col("age")
@@ -208,7 +210,7 @@ def age_groups(users: DataFrame, bounds: Sequence[float] = (0, 18, 35, 50)) -> D
         cond = age >= bounds[i]
         expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
     keep = [c for c in users.columns if c not in ("user_id", "age", "age_group")]
-    return users.select("user_id", expr.cast("tinyint").alias("age_group"), *keep)
+    return users.select("user_id", expr.cast("int").alias("age_group"), *keep)
 
 
 def age_group_average_columns(bounds: Sequence[float] = (0, 18, 35, 50)) -> list[Column]:

@@ -144,3 +144,15 @@ def test_null_item_id_never_matches_a_title(spark):
     items = spark.createDataFrame([(None, "Ghost", "A")], ITEMS)
     assert rows(R.rating_avg_by_item(ratings, items)) == [(None, None, 3.0, 2)]
     assert R.genre_rating_pairs(ratings, R.explode_genres(items)).count() == 0
+
+
+def test_gender_labels_must_differ(spark, ratings, items):
+    users = spark.createDataFrame([("u1", "X", 1.0)], USERS)
+    with pytest.raises(ValueError):
+        R.rating_avg_by_gender(ratings, users, items, male="X", female="x")
+
+
+def test_many_age_bounds(spark):
+    users = spark.createDataFrame([("a", "M", 300.0), ("b", "F", 3.0), ("c", "F", -1.0)], USERS)
+    got = {r.user_id: r.age_group for r in R.age_groups(users, list(range(0, 300, 2))).collect()}
+    assert got == {"a": 149, "b": 1, "c": None}
