@@ -52,7 +52,8 @@ def java_split(c: Column | str, pattern: str, limit: int = 0) -> Column:
         return F.split(c, pattern, limit)
     if limit < 0:
         return F.split(c, pattern, -1)
-    stripped = F.regexp_replace(c, f"(?:{pattern})+$", "")
+    # \z, not $: in Java regex $ also matches before a final line terminator
+    stripped = F.regexp_replace(c, f"(?:{pattern})+\\z", "")
     return (F.when(c == "", F.array(F.lit("")))
              .when(stripped == "", F.array().cast("array<string>"))
              .otherwise(F.split(stripped, pattern, -1)))

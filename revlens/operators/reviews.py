@@ -98,9 +98,12 @@ def aspect_counts(normalized: DataFrame, sentiment: str, count_name: str) -> Dat
 
 
 def most_judged_aspect(reviews: DataFrame, sentiment: str, count_name: str) -> DataFrame:
-    """The aspect with most ``sentiment`` judgements; ties go to the smaller name."""
+    """The aspect with most ``sentiment`` judgements; ties go to the smaller name.
+
+    A missing (null) aspect counts as the smallest name.
+    """
     counts = aspect_counts(normalize(reviews), sentiment, count_name)
-    return top_one(counts, [F.desc(count_name), F.asc("aspect")])
+    return top_one(counts, [F.desc(count_name), F.asc_nulls_first("aspect")])
 
 
 def word_counts(words: DataFrame, keys: Iterable[str]) -> DataFrame:

@@ -302,7 +302,7 @@ def _aspect_sql(sentiment: str, name: str) -> str:
     return f"""WITH {_REVIEWS}
 SELECT upper(aspect) AS aspect, count(rid) AS {name} FROM rv
 WHERE lower(sentiment) = '{sentiment}'
-GROUP BY upper(aspect) ORDER BY {name} DESC, aspect ASC LIMIT 1"""
+GROUP BY upper(aspect) ORDER BY {name} DESC, aspect ASC NULLS FIRST LIMIT 1"""
 
 
 def oracle_sql() -> dict[str, str]:

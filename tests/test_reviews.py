@@ -94,3 +94,9 @@ def test_null_keys_form_one_group(spark):
     df = spark.createDataFrame([(1, "x", None, "a", "p"), (2, "y", None, "a", "p"),
                                 (2, "z", "C", "a", "p")], REVIEWS)
     assert rows(V.comment_counts(df, "category")) == [("C", 1, 1), (None, 2, 2)]
+
+
+def test_null_aspect_is_the_smallest_name_in_ties(spark):
+    df = spark.createDataFrame([(1, "", "c", None, "negative"), (2, "", "c", "b", "negative")],
+                               REVIEWS)
+    assert rows(V.most_judged_aspect(df, "negative", "neg_count")) == [(None, 1)]

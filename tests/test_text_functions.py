@@ -37,6 +37,13 @@ def test_java_split_trailing_empties(spark):
     assert one(spark, "abc", sp) == ["abc"]
 
 
+def test_java_split_final_line_terminator(spark):
+    sp = lambda c: java_split(c, r"\|")
+    assert one(spark, "a|b|\n", sp) == ["a", "b", "\n"]
+    assert one(spark, "a|b|\u2028", sp) == ["a", "b", "\u2028"]
+    assert one(spark, "a|b|", sp) == ["a", "b"]
+
+
 def test_java_split_with_limit_keeps_rest(spark):
     sp = lambda c: java_split(c, r",\s*", 3)
     assert one(spark, "5, Heat, Action|Crime, x", sp) == ["5", "Heat", "Action|Crime, x"]
