@@ -242,7 +242,7 @@ def _item_lines_sql() -> str:
     return f"""WITH {_PER_ITEM},
   best AS (SELECT * FROM it
            WHERE n_ratings >= {B.TOP_ITEM_MIN_COUNT} AND NOT isnan(avg_rating)
-           ORDER BY avg_rating DESC, CAST(item_id AS VARCHAR) ASC LIMIT 1)
+           ORDER BY avg_rating DESC, CAST(item_id AS VARCHAR) ASC NULLS FIRST LIMIT 1)
 SELECT title AS key, {_fmt2('avg_rating')} || ' (TotalRatings: ' || n_ratings || ')' AS value
 FROM it
 UNION ALL
@@ -316,7 +316,7 @@ SELECT item_id, title, round(avg_rating, {DIGITS}) AS avg_rating, n_ratings FROM
         "top_rated_item": f"""WITH {_PER_ITEM},
   best AS (SELECT * FROM it
            WHERE n_ratings >= {B.TOP_ITEM_MIN_COUNT} AND NOT isnan(avg_rating)
-           ORDER BY avg_rating DESC, CAST(item_id AS VARCHAR) ASC LIMIT 1)
+           ORDER BY avg_rating DESC, CAST(item_id AS VARCHAR) ASC NULLS FIRST LIMIT 1)
 SELECT best.item_id, best.title, round(best.avg_rating, {DIGITS}) AS avg_rating, best.n_ratings
 FROM (SELECT 1 AS one) d LEFT JOIN best ON TRUE""",
         "genre_rating_pairs": f"""WITH {_GENRE_PAIRS}
