@@ -36,14 +36,23 @@ REVIEWS_OUTPUTS = ("words", "word_freq_over", "count_by_category", "count_by_asp
                    "top_negative_words", "top_related_words")
 
 
-def item_report_lines(per_item: DataFrame, min_count: int) -> DataFrame:
-    """``key, value``: one line per item, then the best-item line."""
+def item_report_lines(per_item: DataFrame, min_count: int,
+                      order_columns: bool = False) -> DataFrame:
+    """``key, value``: one line per item, then the best-item line.
+
+    With ``order_columns`` two more columns, ``_top`` (0 for items, 1 for
+    the best-item line) and ``_id`` (item id text), give the original file
+    order: items by id text, best-item line last.
+    """
     items = per_item.select(F.col("title").alias("key"),
-                            fmt.item_line("avg_rating", "n_ratings").alias("value"))
+                            fmt.item_line("avg_rating", "n_ratings").alias("value"),
+                            F.lit(0).alias("_top"), F.col("item_id").cast("string").alias("_id"))
     best = R.top_rated_item(per_item, min_count).select(
         F.lit(fmt.TOP_ITEM_KEY).alias("key"),
-        fmt.top_item_line("title", "avg_rating", min_count).alias("value"))
-    return items.unionByName(best)
+        fmt.top_item_line("title", "avg_rating", min_count).alias("value"),
+        F.lit(1).alias("_top"), F.lit(None).cast("string").alias("_id"))
+    lines = items.unionByName(best)
+    return lines if order_columns else lines.drop("_top", "_id")
 
 
 def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_dir: str,
@@ -64,14 +73,17 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
     """
     paths = {name: f"{out_dir}/{name}" for name in RATINGS_OUTPUTS}
 
-    def out(name: str, df: DataFrame) -> None:
-        write_tsv(df, paths[name], mode, single_file)
+    def out(name: str, df: DataFrame, order=None, hidden=()) -> None:
+        # single-file outputs follow the original files' line order
+        write_tsv(df, paths[name], mode, single_file,
+                  order_by=order if single_file else None, hidden=hidden)
 
     sums = materialize(ratings.groupBy("item_id").agg(
         F.sum("rating").alias("s"), F.count("rating").alias("n")), "item_sums")
     stats = sums.select("item_id", F.try_divide("s", "n").alias("avg_rating"),
                         F.col("n").alias("n_ratings"))
-    out("item_averages", item_report_lines(R.with_titles(stats, items), min_count))
+    out("item_averages", item_report_lines(R.with_titles(stats, items), min_count, True),
+        ["_top", "_id"], ["_top", "_id"])
 
     genres = R.explode_genres(items, genre_separator)
     out("genre_rating_pairs", R.genre_rating_pairs(ratings, genres, salt_buckets))
@@ -79,7 +91,7 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
         java_trim("genre").alias("genre")).agg(
         F.try_divide(F.sum("s"), F.sum("n")).alias("avg_rating"), F.sum("n").alias("n_ratings"))
     out("genre_averages", by_genre.select(
-        "genre", fmt.item_line("avg_rating", "n_ratings").alias("value")))
+        "genre", fmt.item_line("avg_rating", "n_ratings").alias("value")), ["genre"])
 
     groups = R.age_group_names(age_bounds)
     people = R.age_groups(R.gender_sides(users), age_bounds)
@@ -88,11 +100,14 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
     per_user_group = materialize(rated.groupBy("item_id").agg(
         *R.gender_average_columns(), *R.age_group_average_columns(age_bounds)),
         "item_user_groups")
-    titled = R.with_titles(per_user_group, items)
+    titled = R.with_titles(per_user_group, items).withColumn(
+        "_id", F.col("item_id").cast("string"))
     out("gender_averages", titled.select(
-        "title", fmt.gender_line("male_avg", "female_avg").alias("value")))
+        "title", fmt.gender_line("male_avg", "female_avg").alias("value"), "_id"),
+        ["_id"], ["_id"])
     out("age_group_averages", titled.select(
-        "title", fmt.bucket_line([g for g, _ in groups], [c for _, c in groups]).alias("value")))
+        "title", fmt.bucket_line([g for g, _ in groups], [c for _, c in groups]).alias("value"),
+        "_id"), ["_id"], ["_id"])
     return paths
 
 
@@ -122,26 +137,28 @@ def reviews_report(reviews: DataFrame, stop_words: V.StopWords, out_dir: str,
     """
     paths = {name: f"{out_dir}/{name}" for name in REVIEWS_OUTPUTS}
 
-    def out(name: str, df: DataFrame) -> None:
-        write_tsv(df, paths[name], mode, single_file)
+    def out(name: str, df: DataFrame, order=None) -> None:
+        # single-file outputs follow the original files' line order
+        write_tsv(df, paths[name], mode, single_file, order_by=order if single_file else None)
 
+    top_order = ["category", F.desc("cnt"), "word"]
     words = V.clean_words(reviews, stop_words, delimiters)
     out("words", words)
 
     counts = materialize(V.word_counts(words, ["category", "sentiment"]), "word_counts")
     freq = counts.groupBy("word").agg(F.sum("cnt").alias("freq"))
-    out("word_freq_over", freq.where(F.col("freq") > threshold))
+    out("word_freq_over", freq.where(F.col("freq") > threshold), ["word"])
 
-    out("count_by_category", V.comment_counts(reviews, "category"))
+    out("count_by_category", V.comment_counts(reviews, "category"), ["category"])
     out("count_by_aspect", V.comment_counts(
-        judgements if judgements is not None else reviews, "aspect"))
+        judgements if judgements is not None else reviews, "aspect"), ["aspect"])
     out("most_negative_aspect", V.most_judged_aspect(reviews, "negative", "neg_count"))
     out("most_positive_aspect", V.most_judged_aspect(reviews, "positive", "pos_count"))
 
-    out("top_positive_words", V.top_words(counts, k, "positive"))
-    out("top_negative_words", V.top_words(counts, k, "negative"))
+    out("top_positive_words", V.top_words(counts, k, "positive"), top_order)
+    out("top_negative_words", V.top_words(counts, k, "negative"), top_order)
     per_category = counts.groupBy("category", "word").agg(F.sum("cnt").alias("cnt"))
-    out("top_related_words", V.top_words(per_category, k))
+    out("top_related_words", V.top_words(per_category, k), top_order)
     return paths
 
 

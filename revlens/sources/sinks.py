@@ -7,7 +7,9 @@ commit protocol, so a retried task never leaves partial files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,16 +20,26 @@ def tsv_lines(df: DataFrame) -> DataFrame:
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists",
-              single_file: bool = False) -> None:
+              single_file: bool = False, order_by: Sequence[Column | str] | None = None,
+              hidden: Sequence[str] = ()) -> None:
     """Write ``df`` as TSV text under ``path``.
 
     ``mode='errorifexists'`` refuses an existing folder; ``'overwrite'``
     replaces it.  ``single_file=True`` merges the output into one file; use it
-    only for small results (the final write runs as one task).  It adds a
-    shuffle into one partition rather than ``coalesce(1)``, which would pull
-    the whole upstream computation into that single task.
+    only for small results (the final write runs as one task).  Without an
+    order it shuffles into one partition rather than ``coalesce(1)``, which
+    would pull the whole upstream computation into that single task.
+
+    ``order_by`` sorts the lines (range-partitioned sort; part files follow
+    in order, and a single file keeps that order because ``coalesce(1)``
+    stops at the sort's shuffle).  ``hidden`` columns may be used for the
+    order but are not written.
     """
+    if order_by:
+        df = df.orderBy(*order_by)
+    if hidden:
+        df = df.drop(*hidden)
     lines = tsv_lines(df)
     if single_file:
-        lines = lines.repartition(1)
+        lines = lines.coalesce(1) if order_by else lines.repartition(1)
     lines.write.mode(mode).text(path)

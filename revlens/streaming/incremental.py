@@ -4,7 +4,11 @@ The original jobs read bounded files; nothing here adds new semantics.
 When rating or review files keep arriving in a folder, the same operators
 run as streaming queries: file-source stream, stream-static joins to the
 item and stop-word tables, and a stateful aggregation whose state lives in
-the checkpoint folder, so a restarted query resumes where it stopped.
+the checkpoint folder.  A restarted query resumes where it stopped when its
+checkpoint location is stable: an explicit ``checkpoint`` or one derived
+from ``spark.checkpoint.dir``.  A local session without that setting gets a
+fresh temporary folder per process and starts over (results stay correct,
+as every batch rewrites the complete result).
 """
 
 from __future__ import annotations

@@ -85,3 +85,24 @@ def test_ratings_report_salted_equals_plain(spark, tmp_path):
     salted = run_ratings_files(spark, *args, str(tmp_path / "salted"), salt_buckets=4)
     for name in plain:
         assert lines(plain[name]) == lines(salted[name])
+
+
+def test_single_file_reports_keep_the_original_line_order(spark, tmp_path):
+    (tmp_path / "r.txt").write_text("".join(f"{u}, {i}, 4.0\n" for u, i in
+                                            [("1", "9"), ("1", "10"), ("2", "10"), ("2", "2")]))
+    (tmp_path / "m.txt").write_text("9, Nine, B\n10, Ten, A|B\n2, Two, C\n")
+    (tmp_path / "u.txt").write_text("1, M, 20\n2, F, 40\n")
+    paths = run_ratings_files(spark, [str(tmp_path / "r.txt")], str(tmp_path / "m.txt"),
+                              str(tmp_path / "u.txt"), str(tmp_path / "o"), min_count=2,
+                              single_file=True)
+
+    def raw(path):
+        names = [n for n in os.listdir(path) if n.startswith("part-")]
+        assert len(names) == 1
+        with open(os.path.join(path, names[0]), encoding="utf-8") as fh:
+            return fh.read().splitlines()
+    # ids in text order 10 < 2 < 9, best-item line last
+    assert [ln.split("\t")[0] for ln in raw(paths["item_averages"])] == \
+        ["Ten", "Two", "Nine", "TOP_MOVIE"]
+    assert [ln.split("\t")[0] for ln in raw(paths["genre_averages"])] == ["A", "B", "C"]
+    assert [ln.split("\t")[0] for ln in raw(paths["gender_averages"])] == ["Ten", "Two", "Nine"]
