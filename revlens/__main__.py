@@ -1,7 +1,7 @@
 """Command line: run a whole lab on text inputs, or one registered query.
 
-    python -m revlens ratings --ratings r1.txt r2.txt --items movies.txt \\
-        --users users.txt --out OUT [--min-count 5] [--age-bounds 0 18 35 50]
+    python -m revlens ratings --ratings r1.txt r2.txt --items items.txt \\
+        --users raters.txt --out OUT [--min-count 5] [--age-bounds 0 18 35 50]
     python -m revlens reviews --reviews reviews.csv --stop-words stop.txt \\
         --out OUT [--threshold 500] [--k 5] [--quoting]
     python -m revlens query NAME --sf-dir DIR --out OUT
