@@ -5,6 +5,7 @@
     python -m revlens reviews --reviews reviews.csv --stop-words stop.txt \\
         --out OUT [--threshold 500] [--k 5] [--quoting]
     python -m revlens query NAME --sf-dir DIR --out OUT
+    python -m revlens explain NAME --sf-dir DIR [--mode formatted]
 
 On a cluster, submit with spark-submit; the session settings (master,
 shuffle partitions, spark.checkpoint.dir) come from the submit command.
@@ -61,6 +62,12 @@ def main(argv: list[str] | None = None) -> None:
     q.add_argument("--sf-dir", required=True)
     q.add_argument("--out", required=True)
 
+    x = sub.add_parser("explain", help="print the plan of a registered query")
+    x.add_argument("name")
+    x.add_argument("--sf-dir", required=True)
+    x.add_argument("--mode", default="formatted",
+                   choices=["simple", "extended", "codegen", "cost", "formatted"])
+
     a = p.parse_args(argv)
     spark = _session(a.local)
     if a.cmd == "ratings":
@@ -74,6 +81,10 @@ def main(argv: list[str] | None = None) -> None:
         from revlens.plans.report import run_reviews_files
         paths = run_reviews_files(spark, a.reviews, a.stop_words, a.out, quoting=a.quoting,
                                   threshold=a.threshold, k=a.k, single_file=a.single_file)
+    elif a.cmd == "explain":
+        from revlens.plans.catalog import queries
+        queries()[a.name](spark, a.sf_dir).explain(a.mode)
+        return
     else:
         from revlens.plans.catalog import queries
         from revlens.sources.sinks import write_tsv

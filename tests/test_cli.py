@@ -38,3 +38,9 @@ def test_cli_registered_query(spark, tmp_path, capsys):
           "--out", str(tmp_path / "q")])
     lines = _lines(str(tmp_path / "q"))
     assert {ln.split("\t")[0] for ln in lines} == {"system", "user", "assistant"}
+
+
+def test_cli_explain(spark, capsys):
+    main(["--local", "explain", "top5_related_words", "--sf-dir", "/root/testdata/sf0.001",
+          "--mode", "simple"])
+    assert "WindowGroupLimit" in capsys.readouterr().out
