@@ -16,7 +16,8 @@ and read back for each output.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,7 +60,7 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
                    min_count: int = 5, age_bounds: Sequence[float] = (0, 18, 35, 50),
                    genre_separator: str = R.GENRE_SEPARATOR, mode: str = "overwrite",
                    single_file: bool = False,
-                   salt_buckets: int | None = None) -> dict[str, str]:
+                   salt_buckets: int | None = None, threads: int = 4) -> dict[str, str]:
     """Write the five rating outputs; returns ``{name: path}``.
 
     ``salt_buckets`` salts hot items in the (genre, rating) pairs join and
@@ -70,6 +71,7 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
     join to the users feeds both the gender and the age-group averages; the
     (genre, rating) pairs are the third.  The two per-item results are
     written to the checkpoint folder and read back by their outputs.
+    Independent outputs are submitted from ``threads`` driver threads.
     """
     paths = {name: f"{out_dir}/{name}" for name in RATINGS_OUTPUTS}
 
@@ -78,39 +80,68 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
         write_tsv(df, paths[name], mode, single_file,
                   order_by=order if single_file else None, hidden=hidden)
 
-    sums = materialize(ratings.groupBy("item_id").agg(
-        F.sum("rating").alias("s"), F.count("rating").alias("n")), "item_sums")
-    stats = sums.select("item_id", F.try_divide("s", "n").alias("avg_rating"),
-                        F.col("n").alias("n_ratings"))
-    out("item_averages", item_report_lines(R.with_titles(stats, items), min_count, True),
-        ["_top", "_id"], ["_top", "_id"])
-
     genres = R.explode_genres(items, genre_separator)
-    out("genre_rating_pairs", R.genre_rating_pairs(ratings, genres, salt_buckets))
-    by_genre = sums.join(genres, "item_id", "inner").groupBy(
-        java_trim("genre").alias("genre")).agg(
-        F.try_divide(F.sum("s"), F.sum("n")).alias("avg_rating"), F.sum("n").alias("n_ratings"))
-    out("genre_averages", by_genre.select(
-        "genre", fmt.item_line("avg_rating", "n_ratings").alias("value")), ["genre"])
-
     groups = R.age_group_names(age_bounds)
     people = R.age_groups(R.gender_sides(users), age_bounds)
     rated = R.rate_by_users(ratings, people, "gender_side", "age_group",
                             salt_buckets=salt_buckets)
-    per_user_group = materialize(rated.groupBy("item_id").agg(
-        *R.gender_average_columns(), *R.age_group_average_columns(age_bounds)),
-        "item_user_groups")
-    titled = R.with_titles(per_user_group, items).withColumn(
+    shared: dict[str, DataFrame] = {}
+
+    def sums_job() -> None:
+        shared["sums"] = materialize(ratings.groupBy("item_id").agg(
+            F.sum("rating").alias("s"), F.count("rating").alias("n")), "item_sums")
+
+    def user_groups_job() -> None:
+        shared["groups"] = materialize(rated.groupBy("item_id").agg(
+            *R.gender_average_columns(), *R.age_group_average_columns(age_bounds)),
+            "item_user_groups")
+
+    run_concurrently(
+        sums_job, user_groups_job,
+        lambda: out("genre_rating_pairs", R.genre_rating_pairs(ratings, genres, salt_buckets)),
+        threads=threads)
+
+    sums = shared["sums"]
+    stats = sums.select("item_id", F.try_divide("s", "n").alias("avg_rating"),
+                        F.col("n").alias("n_ratings"))
+    by_genre = sums.join(genres, "item_id", "inner").groupBy(
+        java_trim("genre").alias("genre")).agg(
+        F.try_divide(F.sum("s"), F.sum("n")).alias("avg_rating"), F.sum("n").alias("n_ratings"))
+    titled = R.with_titles(shared["groups"], items).withColumn(
         "_id", F.col("item_id").cast("string"))
-    out("gender_averages", titled.select(
-        "title", fmt.gender_line("male_avg", "female_avg").alias("value"), "_id"),
-        ["_id"], ["_id"])
-    out("age_group_averages", titled.select(
-        "title", fmt.bucket_line([g for g, _ in groups], [c for _, c in groups]).alias("value"),
-        "_id"), ["_id"], ["_id"])
+    run_concurrently(
+        lambda: out("item_averages",
+                    item_report_lines(R.with_titles(stats, items), min_count, True),
+                    ["_top", "_id"], ["_top", "_id"]),
+        lambda: out("genre_averages", by_genre.select(
+            "genre", fmt.item_line("avg_rating", "n_ratings").alias("value")), ["genre"]),
+        lambda: out("gender_averages", titled.select(
+            "title", fmt.gender_line("male_avg", "female_avg").alias("value"), "_id"),
+            ["_id"], ["_id"]),
+        lambda: out("age_group_averages", titled.select(
+            "title",
+            fmt.bucket_line([g for g, _ in groups], [c for _, c in groups]).alias("value"),
+            "_id"), ["_id"], ["_id"]),
+        threads=threads)
     return paths
 
 
+def run_concurrently(*jobs: Callable[[], object], threads: int = 4) -> None:
+    """Run independent Spark actions from a few driver threads.
+
+    Each job is a small output that alone would leave most task slots idle;
+    submitted together, the scheduler runs their stages side by side.  An
+    exception in any job is re-raised.
+    """
+    if len(jobs) <= 1 or threads <= 1:
+        for job in jobs:
+            job()
+        return
+    with ThreadPoolExecutor(max_workers=min(threads, len(jobs))) as pool:
+        for future in [pool.submit(job) for job in jobs]:
+            future.result()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet in the shared checkpoint folder and read it back."""
     spark = df.sparkSession
@@ -123,7 +154,7 @@ def reviews_report(reviews: DataFrame, stop_words: V.StopWords, out_dir: str,
                    threshold: int = 500, k: int = 5,
                    delimiters: str = DEFAULT_TOKEN_DELIMITERS, mode: str = "overwrite",
                    single_file: bool = False,
-                   judgements: DataFrame | None = None) -> dict[str, str]:
+                   judgements: DataFrame | None = None, threads: int = 4) -> dict[str, str]:
     """Write the nine review outputs; returns ``{name: path}``.
 
     ``judgements`` (``rid, aspect``) feeds the per-aspect comment counts;
@@ -133,7 +164,8 @@ def reviews_report(reviews: DataFrame, stop_words: V.StopWords, out_dir: str,
     The token relation itself is never stored as an intermediate: it is
     larger than the text, so writing and re-reading it on shared storage
     would cost more than tokenising twice (once for the ``words`` output,
-    once for the shared counts).
+    once for the shared counts).  Independent outputs are submitted from
+    ``threads`` driver threads so their small jobs overlap.
     """
     paths = {name: f"{out_dir}/{name}" for name in REVIEWS_OUTPUTS}
 
@@ -143,22 +175,33 @@ def reviews_report(reviews: DataFrame, stop_words: V.StopWords, out_dir: str,
 
     top_order = ["category", F.desc("cnt"), "word"]
     words = V.clean_words(reviews, stop_words, delimiters)
-    out("words", words)
-
-    counts = materialize(V.word_counts(words, ["category", "sentiment"]), "word_counts")
+    shared: dict[str, DataFrame] = {}
+
+    def counts_job() -> None:
+        shared["counts"] = materialize(
+            V.word_counts(words, ["category", "sentiment"]), "word_counts")
+
+    aspects = judgements if judgements is not None else reviews
+    run_concurrently(
+        lambda: out("words", words),
+        counts_job,
+        lambda: out("count_by_category", V.comment_counts(reviews, "category"), ["category"]),
+        lambda: out("count_by_aspect", V.comment_counts(aspects, "aspect"), ["aspect"]),
+        lambda: out("most_negative_aspect",
+                    V.most_judged_aspect(reviews, "negative", "neg_count")),
+        lambda: out("most_positive_aspect",
+                    V.most_judged_aspect(reviews, "positive", "pos_count")),
+        threads=threads)
+
+    counts = shared["counts"]
     freq = counts.groupBy("word").agg(F.sum("cnt").alias("freq"))
-    out("word_freq_over", freq.where(F.col("freq") > threshold), ["word"])
-
-    out("count_by_category", V.comment_counts(reviews, "category"), ["category"])
-    out("count_by_aspect", V.comment_counts(
-        judgements if judgements is not None else reviews, "aspect"), ["aspect"])
-    out("most_negative_aspect", V.most_judged_aspect(reviews, "negative", "neg_count"))
-    out("most_positive_aspect", V.most_judged_aspect(reviews, "positive", "pos_count"))
-
-    out("top_positive_words", V.top_words(counts, k, "positive"), top_order)
-    out("top_negative_words", V.top_words(counts, k, "negative"), top_order)
     per_category = counts.groupBy("category", "word").agg(F.sum("cnt").alias("cnt"))
-    out("top_related_words", V.top_words(per_category, k), top_order)
+    run_concurrently(
+        lambda: out("word_freq_over", freq.where(F.col("freq") > threshold), ["word"]),
+        lambda: out("top_positive_words", V.top_words(counts, k, "positive"), top_order),
+        lambda: out("top_negative_words", V.top_words(counts, k, "negative"), top_order),
+        lambda: out("top_related_words", V.top_words(per_category, k), top_order),
+        threads=threads)
     return paths
 
 
