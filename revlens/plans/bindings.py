@@ -124,28 +124,36 @@ def _sentiment(labelled: F.Column) -> F.Column:
              .otherwise(F.lit("unlabelled")))
 
 
+def reviews_from(documents: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rid, review, category, aspect[, sentiment]`` from the two tables.
+
+    ``labels`` None gives the sentiment-free form (no join).
+    """
+    docs = documents.select(
+        F.col("doc_id").alias("rid"), F.col("text").alias("review"),
+        F.col("source").alias("category"), F.col("lang").alias("aspect"))
+    if labels is None:
+        return docs
+    lab = labels.select(F.col("doc_id").alias("rid"), "quality", "toxic",
+                        F.lit(True).alias("_labelled"))
+    joined = docs.join(lab, "rid", "left")
+    return joined.select("rid", "review", "category", "aspect",
+                         _sentiment(F.col("_labelled").isNotNull()).alias("sentiment"))
+
+
 def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True,
             spread: bool = False) -> DataFrame:
     """``rid, review, category, aspect[, sentiment]``.
 
     ``spread`` is for the tokenising queries: their per-row work is heavy
     enough to be worth spreading a small single-split input over all cores.
+    The spread sits above the labels join, so a sentiment filter downstream
+    is pushed into the join and only the matching documents are moved.
     """
-    docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("rid"), F.col("text").alias("review"),
-        F.col("source").alias("category"), F.col("lang").alias("aspect"))
-    out = docs
-    if with_sentiment:
-        labels = table(spark, sf_dir, "labels").select(
-            F.col("doc_id").alias("rid"), "quality", "toxic", F.lit(True).alias("_labelled"))
-        joined = docs.join(labels, "rid", "left")
-        out = joined.select("rid", "review", "category", "aspect",
-                            _sentiment(F.col("_labelled").isNotNull()).alias("sentiment"))
-    if spread:
-        # spread above the labels join: a sentiment filter downstream is
-        # pushed into the join, so only the matching documents are moved
-        out = spread_small_input(out, probe=docs)
-    return out
+    documents = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels") if with_sentiment else None
+    out = reviews_from(documents, labels)
+    return spread_small_input(out, probe=documents) if spread else out
 
 
 def conversation_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
