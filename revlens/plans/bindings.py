@@ -59,20 +59,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ratings_from(lineitem: DataFrame) -> DataFrame:
+    """``item_id, rating, order_key`` from a lineitem table (no user lookup)."""
+    return (lineitem.where(F.col("l_linestatus").isin(*RATING_HALVES))
+                    .select(F.col("l_partkey").alias("item_id"),
+                            F.col("l_quantity").alias("rating"),
+                            F.col("l_orderkey").alias("order_key")))
+
+
 def ratings(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """``item_id, rating, order_key`` (no user lookup)."""
-    li = table(spark, sf_dir, "lineitem")
-    out = (li.where(F.col("l_linestatus").isin(*RATING_HALVES))
-             .select(F.col("l_partkey").alias("item_id"),
-                     F.col("l_quantity").alias("rating"),
-                     F.col("l_orderkey").alias("order_key")))
+    out = ratings_from(table(spark, sf_dir, "lineitem"))
     return spread_small_input(out) if spread else out
 
 
+def order_users_from(orders: DataFrame) -> DataFrame:
+    """``order_key, user_id`` from an orders table."""
+    return orders.select(F.col("o_orderkey").alias("order_key"),
+                         F.col("o_custkey").alias("user_id"))
+
+
 def order_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``order_key, user_id``."""
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("user_id"))
+    return order_users_from(table(spark, sf_dir, "orders"))
 
 
 def ratings_with_user(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,35 +90,49 @@ def ratings_with_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("user_id", "item_id", "rating")
 
 
-def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``user_id, gender, age``."""
+def users_from(customer: DataFrame) -> DataFrame:
+    """``user_id, gender, age`` from a customer table."""
     seg = F.col("c_mktsegment")
     gender = (F.when(seg == MALE_SEGMENT, F.lit("M"))
                .when(seg == FEMALE_SEGMENT, F.lit("F"))
                .otherwise(seg))
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("user_id"), gender.alias("gender"),
-        F.col("c_acctbal").alias("age"))
+    return customer.select(F.col("c_custkey").alias("user_id"), gender.alias("gender"),
+                           F.col("c_acctbal").alias("age"))
 
 
-def rated_by_known_users(spark: SparkSession, sf_dir: str, *user_cols: str) -> DataFrame:
+def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``user_id, gender, age``."""
+    return users_from(table(spark, sf_dir, "customer"))
+
+
+def rated_by_known_users_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
+                              *user_cols: str) -> DataFrame:
     """``item_id, rating, <user_cols>`` for ratings whose user is known.
 
-    Equal to ``ratings_with_user`` inner-joined to ``users``, but joins
-    orders to users first so the rating-sized side is shuffled once.
+    Equal to the ratings inner-joined to their order's user, but joins
+    orders to users first so the rating-sized side is shuffled once (and
+    not at all when lineitem is stored bucketed by order key).
+    ``gender_side`` and ``age_group`` are coded once per user.
     """
     from revlens.operators.ratings import age_groups, gender_sides
-    people = users(spark, sf_dir)
+    people = users_from(customer)
     if "gender_side" in user_cols:
         people = gender_sides(people)
     if "age_group" in user_cols:
         people = age_groups(people, AGE_BOUNDS)
-    known = order_users(spark, sf_dir).join(
+    known = order_users_from(orders).join(
         people.select("user_id", *user_cols), "user_id", "inner")
-    return ratings(spark, sf_dir).join(known, "order_key", "inner").select(
+    return ratings_from(lineitem).join(known, "order_key", "inner").select(
         "item_id", "rating", *user_cols)
 
 
+def rated_by_known_users(spark: SparkSession, sf_dir: str, *user_cols: str) -> DataFrame:
+    """``rated_by_known_users_from`` over the parquet tables."""
+    return rated_by_known_users_from(table(spark, sf_dir, "lineitem"),
+                                     table(spark, sf_dir, "orders"),
+                                     table(spark, sf_dir, "customer"), *user_cols)
+
+
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``item_id, title, genres``."""
     return table(spark, sf_dir, "part").select(

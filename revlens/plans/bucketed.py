@@ -1,10 +1,12 @@
-"""Bucketed copies of the review tables, for repeated runs over the same documents.
+"""Bucketed copies of the input tables, for repeated runs over the same data.
 
 Joining documents to their labels by id shuffles the document text once per
-run.  Written once bucketed (and sorted) by ``doc_id`` with the same bucket
-count, the two tables meet bucket by bucket: the join reads both sides with
-their stored partitioning and needs no exchange.  The tables are written at
-an explicit location (an external table), so no warehouse setting is needed;
+run, and joining ratings to their orders shuffles the ratings.  Written once
+bucketed (and sorted) by the join key with the same bucket count, the big
+tables keep their stored partitioning: the documents-labels join needs no
+exchange at all, and in the ratings-users join only the orders-sized side is
+shuffled to match the lineitem buckets.  The tables are written at an
+explicit location (an external table), so no warehouse setting is needed;
 the session's catalog records them.
 """
 
@@ -16,6 +18,8 @@ from revlens.plans import bindings as B
 
 DOC_COLUMNS = ("doc_id", "text", "source", "lang")
 LABEL_COLUMNS = ("doc_id", "quality", "toxic")
+LINEITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_quantity", "l_linestatus")
+ORDER_COLUMNS = ("o_orderkey", "o_custkey")
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str,
@@ -41,3 +45,22 @@ def bucketed_reviews(spark: SparkSession, documents_table: str = "revlens_docume
     """The reviews binding over the bucketed tables (shuffle-free labels join)."""
     labels = spark.table(labels_table) if labels_table else None
     return B.reviews_from(spark.table(documents_table), labels)
+
+
+def bucket_rating_tables(spark: SparkSession, sf_dir: str, buckets: int, base_path: str,
+                         lineitem_table: str = "revlens_lineitem",
+                         orders_table: str = "revlens_orders") -> tuple[str, str]:
+    """Write ``lineitem`` and ``orders`` bucketed by order key; returns the table names."""
+    write_bucketed(B.table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS),
+                   lineitem_table, "l_orderkey", buckets, f"{base_path}/{lineitem_table}")
+    write_bucketed(B.table(spark, sf_dir, "orders").select(*ORDER_COLUMNS),
+                   orders_table, "o_orderkey", buckets, f"{base_path}/{orders_table}")
+    return lineitem_table, orders_table
+
+
+def bucketed_rated_by_known_users(spark: SparkSession, sf_dir: str, *user_cols: str,
+                                  lineitem_table: str = "revlens_lineitem",
+                                  orders_table: str = "revlens_orders") -> DataFrame:
+    """Ratings with user attributes, reading lineitem and orders from their buckets."""
+    return B.rated_by_known_users_from(spark.table(lineitem_table), spark.table(orders_table),
+                                       B.table(spark, sf_dir, "customer"), *user_cols)
