@@ -129,3 +129,24 @@ def test_salted_user_join_is_exact(spark, no_aqe):
     salted = R.rate_by_users(ratings, users, "gender", salt_buckets=6)
     assert plain.count() == salted.count()
     assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d", None]), st.integers(0, 3)),
+                max_size=40),
+       st.lists(st.tuples(st.sampled_from(["a", "b", "e", None]), st.integers(0, 9)), max_size=6),
+       st.integers(2, 5), st.sampled_from(["inner", "left"]))
+def test_salted_join_equals_plain_join(spark, big_rows, small_rows, buckets, how):
+    from revlens.operators.skew import salted_join
+    big = spark.createDataFrame(big_rows, "k string, v int")
+    small = spark.createDataFrame(small_rows, "k string, w int")
+    plain = big.join(small, "k", how)
+    salted = salted_join(big, small, "k", buckets, how)
+    assert sorted(plain.columns) == sorted(salted.columns)
+    salted = salted.select(*plain.columns)
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
