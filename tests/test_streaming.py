@@ -40,3 +40,14 @@ def test_item_averages_stream_to_parquet_sink(spark, tmp_path):
                             checkpoint=str(tmp_path / "ck"), available_now=True, sink_path=sink)
     q.awaitTermination(120)
     assert rows(spark.read.parquet(sink)) == [("10", "Heat", 3.0, 2)]
+
+
+def test_word_frequency_stream_with_stop_table(spark, tmp_path):
+    src = tmp_path / "rv2"
+    src.mkdir()
+    (src / "a.csv").write_text("1;đẹp rất đẹp;GENERAL;HOTEL;positive\n", encoding="utf-8")
+    stop = V.stop_word_table(spark, ["rất"])      # a table: stream-static anti-join
+    q = start_word_frequencies(spark, str(src), stop, "word_freq_stream_table",
+                               checkpoint=str(tmp_path / "ck2"), available_now=True)
+    q.awaitTermination(120)
+    assert rows(spark.table("word_freq_stream_table")) == [("đẹp", 2)]
