@@ -23,9 +23,9 @@ DIGITS = 6
 
 
 def _round(df: DataFrame, *cols: str) -> DataFrame:
-    for c in cols:
-        df = df.withColumn(c, F.round(c, DIGITS))
-    return df
+    """Round ``cols`` to ``DIGITS`` places in one projection."""
+    return df.select(*[F.round(c, DIGITS).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
 
 
 # ---------------------------------------------------------------- ratings
