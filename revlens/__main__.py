@@ -55,6 +55,8 @@ def main(argv: list[str] | None = None) -> None:
     v.add_argument("--threshold", type=int, default=500)
     v.add_argument("--k", type=int, default=5)
     v.add_argument("--quoting", action="store_true", help="honour double quotes")
+    v.add_argument("--keep-existing", action="store_true",
+                   help="fail instead of replacing existing output folders")
     v.add_argument("--single-file", action="store_true")
 
     q = sub.add_parser("query", help="one registered query over the parquet tables")
@@ -80,7 +82,8 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "reviews":
         from revlens.plans.report import run_reviews_files
         paths = run_reviews_files(spark, a.reviews, a.stop_words, a.out, quoting=a.quoting,
-                                  threshold=a.threshold, k=a.k, single_file=a.single_file)
+                                  threshold=a.threshold, k=a.k, single_file=a.single_file,
+                                  mode="errorifexists" if a.keep_existing else "overwrite")
     elif a.cmd == "explain":
         from revlens.plans.catalog import queries
         queries()[a.name](spark, a.sf_dir).explain(a.mode)
