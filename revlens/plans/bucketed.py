@@ -8,6 +8,10 @@ exchange at all, and in the ratings-users join only the orders-sized side is
 shuffled to match the lineitem buckets.  The tables are written at an
 explicit location (an external table), so no warehouse setting is needed;
 the session's catalog records them.
+
+Choose a bucket count of at least ``spark.sql.shuffle.partitions``: Spark
+keeps a bucketed side unshuffled (and shuffles the other side to match it)
+only when its bucket count is not below that setting.
 """
 
 from __future__ import annotations

@@ -80,6 +80,7 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
         write_tsv(df, paths[name], mode, single_file,
                   order_by=order if single_file else None, hidden=hidden)
 
+    ensure_checkpoint_dir(ratings.sparkSession)   # resolve once, before any thread
     genres = R.explode_genres(items, genre_separator)
     groups = R.age_group_names(age_bounds)
     people = R.age_groups(R.gender_sides(users), age_bounds)
@@ -174,6 +175,7 @@ def reviews_report(reviews: DataFrame, stop_words: V.StopWords, out_dir: str,
         write_tsv(df, paths[name], mode, single_file, order_by=order if single_file else None)
 
     top_order = ["category", F.desc("cnt"), "word"]
+    ensure_checkpoint_dir(reviews.sparkSession)   # resolve once, before any thread
     words = V.clean_words(reviews, stop_words, delimiters)
     shared: dict[str, DataFrame] = {}
 
