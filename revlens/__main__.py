@@ -47,6 +47,8 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--single-file", action="store_true")
     r.add_argument("--salt-buckets", type=int, default=None,
                    help="salt hot items/users over N tasks (for sessions without AQE)")
+    r.add_argument("--threads", type=int, default=4,
+                   help="driver threads submitting independent outputs")
 
     v = sub.add_parser("reviews", help="word and comment statistics of reviews")
     v.add_argument("--reviews", required=True)
@@ -58,6 +60,8 @@ def main(argv: list[str] | None = None) -> None:
     v.add_argument("--keep-existing", action="store_true",
                    help="fail instead of replacing existing output folders")
     v.add_argument("--single-file", action="store_true")
+    v.add_argument("--threads", type=int, default=4,
+                   help="driver threads submitting independent outputs")
 
     q = sub.add_parser("query", help="one registered query over the parquet tables")
     q.add_argument("name")
@@ -78,12 +82,14 @@ def main(argv: list[str] | None = None) -> None:
         paths = run_ratings_files(spark, a.ratings, a.items, a.users, a.out,
                                   min_count=a.min_count, age_bounds=bounds,
                                   mode="errorifexists" if a.keep_existing else "overwrite",
-                                  single_file=a.single_file, salt_buckets=a.salt_buckets)
+                                  single_file=a.single_file, salt_buckets=a.salt_buckets,
+                                  threads=a.threads)
     elif a.cmd == "reviews":
         from revlens.plans.report import run_reviews_files
         paths = run_reviews_files(spark, a.reviews, a.stop_words, a.out, quoting=a.quoting,
                                   threshold=a.threshold, k=a.k, single_file=a.single_file,
-                                  mode="errorifexists" if a.keep_existing else "overwrite")
+                                  mode="errorifexists" if a.keep_existing else "overwrite",
+                                  threads=a.threads)
     elif a.cmd == "explain":
         from revlens.plans.catalog import queries
         queries()[a.name](spark, a.sf_dir).explain(a.mode)
