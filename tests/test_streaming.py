@@ -51,3 +51,20 @@ def test_word_frequency_stream_with_stop_table(spark, tmp_path):
                                checkpoint=str(tmp_path / "ck2"), available_now=True)
     q.awaitTermination(120)
     assert rows(spark.table("word_freq_stream_table")) == [("đẹp", 2)]
+
+
+def test_restarted_stream_resumes_from_its_checkpoint(spark, tmp_path):
+    src = tmp_path / "in3"
+    src.mkdir()
+    items = spark.createDataFrame([("10", "Heat", "Action")],
+                                  "item_id string, title string, genres string")
+    sink, ck = str(tmp_path / "sink3"), str(tmp_path / "ck3")
+    (src / "a.txt").write_text("u1, 10, 4.0\n")
+    start_item_averages(spark, str(src), items, "resume_a", checkpoint=ck,
+                        available_now=True, sink_path=sink).awaitTermination(120)
+    assert rows(spark.read.parquet(sink)) == [("10", "Heat", 4.0, 1)]
+    # a new query on the same checkpoint reads only the new file and keeps the old state
+    (src / "b.txt").write_text("u2, 10, 2.0\n")
+    start_item_averages(spark, str(src), items, "resume_b", checkpoint=ck,
+                        available_now=True, sink_path=sink).awaitTermination(120)
+    assert rows(spark.read.parquet(sink)) == [("10", "Heat", 3.0, 2)]
