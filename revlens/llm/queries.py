@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dart_minhash, langid, packing, secret_scan, sharding, token_store, url_rules
+from . import dart_minhash, graph_dedup, langid, packing, rabitq, secret_scan, sharding, suffix_pieces, token_store, url_rules
 from .common import table
 
 
@@ -34,12 +34,28 @@ def op4_language_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op5_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th vector."""
+    return rabitq.search(table(spark, sf_dir, "embeddings"))
+
+
 def op6_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each piece's place in a sequence."""
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector's links and component within its label."""
+    return graph_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op8_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's pieces, and whether they decode to it."""
+    docs = table(spark, sf_dir, "documents")
+    return suffix_pieces.encode_and_decode(docs, "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page's host, path, rule and verdict."""
     return url_rules.judge_urls(table(spark, sf_dir, "pages"))
@@ -59,7 +75,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_shard_table, op2_secret_spans, op3_dart_minhash, op4_language_family, op6_swap_packing, op9_url_rules, op10_token_frames, pipeline]
+    named = [op1_shard_table, op2_secret_spans, op3_dart_minhash, op4_language_family, op5_rotated_codes, op6_swap_packing,
+             op7_pruned_graph, op8_suffix_pieces, op9_url_rules, op10_token_frames, pipeline]
     return {f.__name__: f for f in named}
 
 
@@ -77,5 +94,27 @@ SELECT id AS doc_id, min(root) AS class_id FROM r GROUP BY id
 """
 
 
+_USABLE = "NOT list_contains(list_transform(v, lambda x: x IS NULL OR isnan(x) OR isinf(x)), true) AND list_dot_product(v, v) > 0"
+
+_OP5_SQL = f"""
+WITH e AS (SELECT vec_id, v FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) WHERE {_USABLE}),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) AS score FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 20
+"""
+
+_OP7_SQL = f"""
+WITH RECURSIVE e AS (SELECT vec_id, label, v FROM (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings) WHERE label IS NOT NULL AND {_USABLE}),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.93),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+r(id, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id),
+c AS (SELECT id, min(root) AS root FROM r GROUP BY id)
+SELECT vec_id, coalesce(n, 0) AS n_links, root AS component_id, vec_id = root AS kept
+FROM embeddings JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_shard_table": sharding.oracle_sql(), "op3_dart_minhash": _OP3_SQL, "op9_url_rules": url_rules.ORACLE_SQL}
+    return {"op1_shard_table": sharding.oracle_sql(), "op3_dart_minhash": _OP3_SQL, "op5_rotated_codes": _OP5_SQL,
+            "op7_pruned_graph": _OP7_SQL, "op9_url_rules": url_rules.ORACLE_SQL}
