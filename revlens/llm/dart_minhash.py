@@ -125,12 +125,42 @@ def signatures(df: DataFrame, key: str, text: str, bands: int, rows: int, words:
                      f"id {kind}, f1 long, f2 long, bands array<long>")
 
 
-def _shingles_of(df: DataFrame, key: str, text: str, words: int, by_count: bool) -> DataFrame:
-    """(id, hashes, counts): the sorted shingle hashes of a text as bytes, and their counts."""
-    kind = df.schema[key].dataType.simpleString()
+#: Bits of the filter that tells which texts to read again: 8 MB, whatever the corpus.
+FILTER_BITS = 1 << 26
+
+
+def _position(key: str):
+    return F.xxhash64(key).bitwiseAND(F.lit(FILTER_BITS - 1))
+
+
+def _filter(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with a bit for the hash of each id."""
+    at = ids.select(_position("id").alias("p"))
+    parts = (at.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")))
+    rows = parts.collect()  # at most FILTER_BITS / 32768 rows of 4 KB
+    out = np.zeros((FILTER_BITS // 32768 + 2, 4096), dtype=np.uint8)
+    for r in rows:
+        out[r.bucket] = np.frombuffer(bytes(r.bits), np.uint8)
+    return out if rows else out[:0]
+
+
+def _shingles_of(df: DataFrame, ids: DataFrame, words: int, by_count: bool) -> DataFrame:
+    """(id, hashes, counts): the sorted shingle hashes of a text as bytes, and their counts.
+
+    Only for texts (id, text) of ``df`` whose id may be among ``ids``: a filter
+    of fixed size is sent to the scan, so no text is shuffled.
+    """
+    kind = df.schema["id"].dataType.simpleString()
+    wanted = df.sparkSession.sparkContext.broadcast(_filter(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
+        if not len(bits):
+            return
         for batch in batches:
+            # bucket and bit of Spark's bitmaps
+            bucket, bit = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+            batch = batch.filter(pa.array((bits[bucket, bit >> 3] >> (bit & 7)).astype(np.uint8) & 1 == 1))
             for first, part in text_slices(batch.column(1).to_pylist()):
                 doc, h, n = shingle_sets(part, words)
                 at = np.searchsorted(doc, np.arange(len(part) + 1))
@@ -140,7 +170,8 @@ def _shingles_of(df: DataFrame, key: str, text: str, words: int, by_count: bool)
                     [batch.column(0).slice(first, len(part)), pa.array(cut(h), pa.binary()),
                      pa.array(cut(n) if by_count else [b""] * len(part), pa.binary())], names=["id", "hashes", "counts"])
 
-    return arrow_map(df.select(F.col(key).alias("id"), F.col(text).alias("text")), run,
+    p = _position("id")
+    return arrow_map(df.select("id", "text", F.bitmap_bucket_number(p).alias("bucket"), F.bitmap_bit_position(p).alias("bit")), run,
                      f"id {kind}, hashes binary, counts binary")
 
 
@@ -194,8 +225,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", *, w
     heads = members.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     members = stash(members.join(heads, "bucket"), "members")
     pairs = stash(members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = _shingles_of(known.join(ends, "id", "left_semi"), "id", "text", words, by_count)
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+    sets = _shingles_of(known, ends, words, by_count)
     sets = stash(sets.groupBy("id").agg(F.min_by("hashes", "hashes").alias("hashes"), F.min_by("counts", "hashes").alias("counts")), "sets")
     links = stash(_similar(pairs, sets, least), "links")
     rest = stash(_within_buckets(members, links, sets, least), "links")
