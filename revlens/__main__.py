@@ -45,8 +45,6 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--keep-existing", action="store_true",
                    help="fail instead of replacing existing output folders")
     r.add_argument("--single-file", action="store_true")
-    r.add_argument("--salt-buckets", type=int, default=None,
-                   help="salt hot items/users over N tasks (for sessions without AQE)")
     r.add_argument("--threads", type=int, default=4,
                    help="driver threads submitting independent outputs")
 
@@ -82,7 +80,7 @@ def main(argv: list[str] | None = None) -> None:
         paths = run_ratings_files(spark, a.ratings, a.items, a.users, a.out,
                                   min_count=a.min_count, age_bounds=bounds,
                                   mode="errorifexists" if a.keep_existing else "overwrite",
-                                  single_file=a.single_file, salt_buckets=a.salt_buckets,
+                                  single_file=a.single_file,
                                   threads=a.threads)
     elif a.cmd == "reviews":
         from revlens.plans.report import run_reviews_files

@@ -1,7 +1,7 @@
 """Text renderings of the numeric results, in the original output formats.
 
 ``format_string`` follows ``java.util.Formatter``: ``%.2f`` rounds half up
-on the exact decimal value of the double, so 3.775 prints as 3.78 (Spark's
+on the shortest decimal text of the double, so 3.775 prints as 3.78 (Spark's
 ``format_number`` and Python/DuckDB ``printf`` print 3.77).  Queries keep
 numbers as numbers; these helpers only feed the text sinks.
 """

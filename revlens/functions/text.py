@@ -72,8 +72,3 @@ def _escape_class_char(ch: str) -> str:
     if ch in "\\[]^-&":
         return "\\" + ch
     return ch
-
-
-def tokenize(c: Column | str, delimiters: str = DEFAULT_TOKEN_DELIMITERS) -> Column:
-    """Array of non-empty tokens split on any of ``delimiters``."""
-    return F.array_remove(F.split(_col(c), delimiter_class(delimiters), -1), "")

@@ -4,7 +4,7 @@ Large tables are joined without hints: the optimizer broadcasts a side
 only when its estimated size is under ``spark.sql.autoBroadcastJoinThreshold``
 and AQE re-checks with runtime sizes, falling back to a shuffled join and
 splitting skewed partitions.  An explicit broadcast is used only for a side
-whose size is proven small, either by construction or by a bounded count.
+that is small by construction.
 """
 
 from __future__ import annotations
@@ -12,31 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast on request only when it has at most this many rows
-# and this many characters in its string columns.
-MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_CHARS = 64 * 1024 * 1024
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                         max_chars: int = MAX_BROADCAST_CHARS) -> DataFrame:
-    """``broadcast(df)`` when a bounded scan proves it small, else ``df``.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even
-    when the side turns out to be large; the join then takes the shuffled
-    path the optimizer picks.
-    """
-    if df.isStreaming:
-        return df
-    strings = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    chars = sum((F.coalesce(F.length(c), F.lit(0)) for c in strings), F.lit(0))
-    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                       F.coalesce(F.sum(chars), F.lit(0)).alias("chars"))
-    row = probe.first()
-    if row["n"] <= max_rows and row["chars"] <= max_chars:
-        return F.broadcast(df)
-    return df
-
 
 def dedupe_lookup(dim: DataFrame, key: str, value: str) -> DataFrame:
     """One row per key, so a lookup join never multiplies the fact side.

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from revlens.functions.text import java_split, java_trim
 from revlens.operators.joins import lookup_with_fallback
-from revlens.operators.skew import salted_join
 
 GENRE_SEPARATOR = r"\|"
 
@@ -54,11 +53,12 @@ def top_rated_item(item_rows: DataFrame, min_count: int = 5) -> DataFrame:
     ``item_rows`` holds ``item_id, avg_rating, n_ratings`` and optionally
     ``title``.  Always exactly one row; all columns are null when no item
     qualifies.  Ties on the unrounded average go to the smallest id compared
-    as text; NaN averages never win.  A global aggregate (partial per task,
+    as text; NaN and null averages never win.  A global aggregate (partial per task,
     then one tiny merge) instead of a sort.
     """
     cols = [c for c in ("item_id", "title", "avg_rating", "n_ratings") if c in item_rows.columns]
-    eligible = item_rows.where((F.col("n_ratings") >= min_count) & ~F.isnan("avg_rating"))
+    eligible = item_rows.where((F.col("n_ratings") >= min_count)
+                               & F.col("avg_rating").isNotNull() & ~F.isnan("avg_rating"))
     best = F.min(F.struct(
         (-F.col("avg_rating")).alias("neg_avg"),
         F.col("item_id").cast("string").alias("id_text"),
@@ -69,13 +69,23 @@ def top_rated_item(item_rows: DataFrame, min_count: int = 5) -> DataFrame:
 def best_rated_item(ratings: DataFrame, items: DataFrame, min_count: int = 5) -> DataFrame:
     """``item_id, title, avg_rating, n_ratings`` of the best-rated item (one row).
 
-    The winner is chosen on ids alone; only its title is then fetched: the
-    items table is semi-joined to the single winning id (a one-row
-    broadcast), so it is filtered in its scan and never shuffled.
+    The winner is chosen on ids alone; only its title is then fetched.
     """
-    best = top_rated_item(item_stats(ratings), min_count)
+    return best_titled(item_stats(ratings), items, min_count)
+
+
+def best_titled(stats: DataFrame, items: DataFrame, min_count: int = 5) -> DataFrame:
+    """``best_rated_item`` from per-item averages.
+
+    The items table is semi-joined to the single winning id in its scan and
+    reduced to one row, so neither side of the title join is shuffled by key.
+    """
+    best = top_rated_item(stats, min_count)
     wanted = items.join(F.broadcast(best.select("item_id")), "item_id", "left_semi")
-    return with_titles(best, wanted).select("item_id", "title", "avg_rating", "n_ratings")
+    title = wanted.agg(F.any_value("item_id").alias("_id"), F.max("title").alias("title"))
+    return (best.join(F.broadcast(title), F.col("item_id") == F.col("_id"), "left")
+            .select("item_id", F.coalesce("title", F.col("item_id").cast("string")).alias("title"),
+                    "avg_rating", "n_ratings"))
 
 
 def explode_genres(items: DataFrame, separator: str = GENRE_SEPARATOR) -> DataFrame:
@@ -89,20 +99,18 @@ def explode_genres(items: DataFrame, separator: str = GENRE_SEPARATOR) -> DataFr
     return items.select("item_id", F.explode(genres).alias("genre"))
 
 
-def genre_rating_pairs(ratings: DataFrame, item_genres: DataFrame,
-                       salt_buckets: int | None = None) -> DataFrame:
+def genre_rating_pairs(ratings: DataFrame, item_genres: DataFrame) -> DataFrame:
     """``genre, rating`` for every (genre of the item) x (rating of the item).
 
     Inner join: ratings of unknown items and items without ratings drop out.
-    A hot item is split at runtime by AQE's skew join; ``salt_buckets``
-    salts items holding more than ``1/salt_buckets`` of the ratings by hand
-    instead (for sessions without AQE), with the same result.
+    A hot item is split at runtime by AQE's skew join.
     """
-    if salt_buckets:
-        joined = salted_join(ratings, item_genres, "item_id", salt_buckets)
-    else:
-        joined = ratings.join(item_genres, "item_id", "inner")
-    return joined.select("genre", "rating")
+    return ratings.join(item_genres, "item_id", "inner").select("genre", "rating")
+
+
+def item_sums(ratings: DataFrame) -> DataFrame:
+    """``item_id, s, n``: the sum and number of an item's ratings."""
+    return ratings.groupBy("item_id").agg(F.sum("rating").alias("s"), F.count("rating").alias("n"))
 
 
 def rating_avg_by_genre(ratings: DataFrame, item_genres: DataFrame) -> DataFrame:
@@ -112,25 +120,34 @@ def rating_avg_by_genre(ratings: DataFrame, item_genres: DataFrame) -> DataFrame
     and the genre shuffle move item-level rows, not rating-level ones; a hot
     item is absorbed by the partial aggregation before any shuffle.
     """
-    per_item = ratings.groupBy("item_id").agg(
-        F.sum("rating").alias("s"), F.count("rating").alias("n"))
-    joined = per_item.join(item_genres, "item_id", "inner")
+    return genre_averages(item_sums(ratings), item_genres)
+
+
+def genre_averages(sums: DataFrame, item_genres: DataFrame) -> DataFrame:
+    """``rating_avg_by_genre`` from per-item sums."""
+    joined = sums.join(item_genres, "item_id", "inner")
     return joined.groupBy(java_trim("genre").alias("genre")).agg(
         F.try_divide(F.sum("s"), F.sum("n")).alias("avg_rating"),
         F.sum("n").alias("n_ratings"))
 
 
-def rate_by_users(ratings: DataFrame, users: DataFrame, *user_cols: str,
-                  salt_buckets: int | None = None) -> DataFrame:
-    """Inner join ratings to user attributes; ratings of unknown users drop out.
+def one_row_per_user(users: DataFrame, *user_cols: str) -> DataFrame:
+    """``user_id, <user_cols>`` (default: all columns, by name) with one row per id.
 
-    ``salt_buckets`` salts users holding more than ``1/salt_buckets`` of the
-    ratings (see ``genre_rating_pairs``).
+    All values of an id come from one of its rows.
+
+    A repeated user would multiply ratings in a join.  The original map keeps
+    the last line; a distributed table has no line order, so the largest row wins.
+    It shuffles by ``user_id``, the key of the join that follows.
     """
-    side = users.select("user_id", *user_cols)
-    if salt_buckets:
-        return salted_join(ratings, side, "user_id", salt_buckets)
-    return ratings.join(side, "user_id", "inner")
+    user_cols = user_cols or tuple(sorted(c for c in users.columns if c != "user_id"))
+    row = F.max(F.struct(*user_cols)).alias("_row")
+    return users.groupBy("user_id").agg(row).select("user_id", *[F.col(f"_row.{c}").alias(c) for c in user_cols])
+
+
+def rate_by_users(ratings: DataFrame, users: DataFrame, *user_cols: str) -> DataFrame:
+    """Inner join ratings to user attributes; ratings of unknown users drop out."""
+    return ratings.join(one_row_per_user(users, *user_cols), "user_id", "inner")
 
 
 MALE_SIDE, FEMALE_SIDE = 1, 2
@@ -173,7 +190,12 @@ def gender_averages(rated: DataFrame) -> DataFrame:
 def rating_avg_by_gender(ratings: DataFrame, users: DataFrame, items: DataFrame,
                          male: str = "M", female: str = "F") -> DataFrame:
     """``item_id, title, male_avg, female_avg`` for items rated by known users."""
-    rated = rate_by_users(ratings, gender_sides(users, male, female), "gender_side")
+    rated = rate_by_users(ratings, gender_sides(one_row_per_user(users), male, female), "gender_side")
+    return gender_averages_titled(rated, items)
+
+
+def gender_averages_titled(rated: DataFrame, items: DataFrame) -> DataFrame:
+    """``rating_avg_by_gender`` from ratings carrying ``gender_side``."""
     return with_titles(gender_averages(rated), items).select(
         "item_id", "title", "male_avg", "female_avg")
 
@@ -232,6 +254,12 @@ def age_group_averages(rated: DataFrame, bounds: Sequence[float] = (0, 18, 35, 5
 def rating_avg_by_age_group(ratings: DataFrame, users: DataFrame, items: DataFrame,
                             bounds: Sequence[float] = (0, 18, 35, 50)) -> DataFrame:
     """``item_id, title, avg_<group>...`` for items rated by known users."""
-    rated = rate_by_users(ratings, age_groups(users, bounds), "age_group")
+    rated = rate_by_users(ratings, age_groups(one_row_per_user(users), bounds), "age_group")
+    return age_group_averages_titled(rated, items, bounds)
+
+
+def age_group_averages_titled(rated: DataFrame, items: DataFrame,
+                              bounds: Sequence[float] = (0, 18, 35, 50)) -> DataFrame:
+    """``rating_avg_by_age_group`` from ratings carrying ``age_group``."""
     cols = [name for _, name in age_group_names(bounds)]
     return with_titles(age_group_averages(rated, bounds), items).select("item_id", "title", *cols)

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions.text import DEFAULT_TOKEN_DELIMITERS, delimiter_class, has_visible_char
-from revlens.operators.joins import broadcast_if_bounded
 from revlens.operators.topk import top_k_per_group, top_one
 
 
@@ -56,14 +55,12 @@ StopWords = DataFrame | Collection[str]
 def remove_stop_words(toks: DataFrame, stop_words: StopWords) -> DataFrame:
     """Drop tokens equal to a stop word (exact, case-sensitive; repeats harmless).
 
-    A stop table is anti-joined on ``word``; it is broadcast only after a
-    bounded count proves it small, otherwise the optimizer's own size checks
-    pick the join.  An in-code list becomes a hash-set membership filter
+    A stop table is anti-joined on ``word``; the optimizer's size checks pick
+    the join.  An in-code list becomes a hash-set membership filter
     inside the scan stage: no exchange at all.
     """
     if isinstance(stop_words, DataFrame):
-        stop = broadcast_if_bounded(stop_words.select("word"))
-        return toks.join(stop, "word", "left_anti")
+        return toks.join(stop_words.select("word"), "word", "left_anti")
     words = sorted({w for w in stop_words if w is not None})
     if not words:
         return toks

@@ -1,8 +1,8 @@
 """Map the driver's parquet tables onto the ratings / reviews data model.
 
 * ratings = ``lineitem``: item = ``l_partkey``, rating = ``l_quantity``; the
-  two rating files are the ``l_linestatus`` 'O' and 'F' halves, read as one
-  scan with both values pushed to parquet.  A rating's user is the
+  two rating files, which only ``ratings_union`` reads apart, are the
+  ``l_linestatus`` 'O' and 'F' halves.  A rating's user is the
   ``o_custkey`` of its order, looked up only by queries that need users.
 * items = ``part``: id = ``p_partkey``, title = ``p_name``, genres = the
   words of ``p_name`` (space separated).
@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions.text import WHITESPACE_TOKEN_DELIMITERS
-from revlens.sources.layout import spread_small_input
 
 # Fixed values of the binding.
 RATING_HALVES = ("O", "F")
@@ -38,39 +37,25 @@ TOKEN_DELIMITERS = WHITESPACE_TOKEN_DELIMITERS
 ITEM_GENRE_SEPARATOR = " "
 
 
-# Declared schemas of the columns the bindings read (a subset of each table;
-# parquet columns are matched by name).  Declaring them skips the footer-
-# reading job that schema inference would start for every table read.
-TABLE_SCHEMAS = {
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_linestatus string",
-    "orders": "o_orderkey bigint, o_custkey bigint",
-    "customer": "c_custkey bigint, c_acctbal double, c_mktsegment string",
-    "part": "p_partkey bigint, p_name string",
-    "documents": "doc_id bigint, text string, lang string, source string",
-    "labels": "doc_id bigint, quality int, toxic int",
-    "conversations": "conv_id bigint, role string",
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    reader = spark.read
-    if name in TABLE_SCHEMAS:
-        reader = reader.schema(TABLE_SCHEMAS[name])
-    return reader.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table with the schema of its files; using a column that it lacks raises."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ratings_from(lineitem: DataFrame) -> DataFrame:
     """``item_id, rating, order_key`` from a lineitem table (no user lookup)."""
-    return (lineitem.where(F.col("l_linestatus").isin(*RATING_HALVES))
-                    .select(F.col("l_partkey").alias("item_id"),
-                            F.col("l_quantity").alias("rating"),
-                            F.col("l_orderkey").alias("order_key")))
+    return lineitem.select(F.col("l_partkey").alias("item_id"), F.col("l_quantity").alias("rating"),
+                           F.col("l_orderkey").alias("order_key"))
+
 
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``item_id, rating, order_key`` of all ratings (no user lookup)."""
+    return ratings_from(table(spark, sf_dir, "lineitem"))
 
-def ratings(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """``item_id, rating, order_key`` (no user lookup)."""
-    out = ratings_from(table(spark, sf_dir, "lineitem"))
-    return spread_small_input(out) if spread else out
+
+def rating_half(spark: SparkSession, sf_dir: str, half: str) -> DataFrame:
+    """The ratings of one of the two rating files."""
+    return ratings_from(table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == half))
 
 
 def order_users_from(orders: DataFrame) -> DataFrame:
@@ -86,7 +71,9 @@ def order_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ratings_with_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_id, item_id, rating``; user is null when the order is unknown."""
-    r = ratings(spark, sf_dir).join(order_users(spark, sf_dir), "order_key", "left")
+    from revlens.operators.ratings import union_ratings
+    halves = [rating_half(spark, sf_dir, h) for h in RATING_HALVES]
+    r = union_ratings(*halves).join(order_users(spark, sf_dir), "order_key", "left")
     return r.select("user_id", "item_id", "rating")
 
 
@@ -114,8 +101,8 @@ def rated_by_known_users_from(lineitem: DataFrame, orders: DataFrame, customer:
     not at all when lineitem is stored bucketed by order key).
     ``gender_side`` and ``age_group`` are coded once per user.
     """
-    from revlens.operators.ratings import age_groups, gender_sides
-    people = users_from(customer)
+    from revlens.operators.ratings import age_groups, gender_sides, one_row_per_user
+    people = one_row_per_user(users_from(customer))
     if "gender_side" in user_cols:
         people = gender_sides(people)
     if "age_group" in user_cols:
@@ -164,19 +151,11 @@ def reviews_from(documents: DataFrame, labels: DataFrame | None) -> DataFrame:
                          _sentiment(F.col("_labelled").isNotNull()).alias("sentiment"))
 
 
-def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True,
-            spread: bool = False) -> DataFrame:
-    """``rid, review, category, aspect[, sentiment]``.
-
-    ``spread`` is for the tokenising queries: their per-row work is heavy
-    enough to be worth spreading a small single-split input over all cores.
-    The spread sits above the labels join, so a sentiment filter downstream
-    is pushed into the join and only the matching documents are moved.
-    """
+def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True) -> DataFrame:
+    """``rid, review, category, aspect[, sentiment]``."""
     documents = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels") if with_sentiment else None
-    out = reviews_from(documents, labels)
-    return spread_small_input(out, probe=documents) if spread else out
+    return reviews_from(documents, labels)
 
 
 def conversation_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +164,60 @@ def conversation_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv_id").alias("rid"), F.col("role").alias("aspect"))
 
 
-def stop_word_table(spark: SparkSession) -> DataFrame:
-    """The stop list as a one-column table (for the anti-join form)."""
-    from revlens.operators.reviews import stop_word_table as build
-    return build(spark, STOP_WORDS)
+def benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stop table: the words of the benchmark texts, repeats kept."""
+    text = table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), "[ \\t\\n\\x0B\\f\\r]+")).alias("word"))
+    return text.where(F.col("word") != "")
+
+
+# The text inputs as lines, rendered from whole tables: padded lines, blank
+# lines, short lines and trailing empty fields are mixed in by key.
+
+def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value``: ``user, item, rating[, time]`` lines."""
+    r = (table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+         .select("l_orderkey", "l_linenumber", "o_custkey", "l_partkey", "l_quantity"))
+    k = F.col("l_orderkey") % 7
+    user, item, rating = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("o_custkey", "l_partkey", "l_quantity"))
+    line = (F.when(k == 0, F.concat(user, F.lit(","), item, F.lit(",  "), rating, F.lit(","), F.col("l_linenumber").cast("string")))
+             .when(k == 1, F.concat(F.lit("  "), user, F.lit(", "), item, F.lit(", "), rating, F.lit(" \t")))
+             .when(k == 2, F.concat(user, F.lit(", "), item))
+             .when(k == 3, F.lit("  "))
+             .when(k == 4, F.concat(user, F.lit(","), item, F.lit(",,")))
+             .otherwise(F.concat_ws(", ", user, item, rating, F.col("l_linenumber").cast("string"))))
+    return r.select(line.alias("value"))
+
+
+def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value``: ``id, title, genres`` lines; the genres text holds commas."""
+    k = F.col("p_partkey") % 5
+    item, genres = F.col("p_partkey").cast("string"), F.regexp_replace("p_name", " ", ", ")
+    line = (F.when(k == 0, F.concat(F.lit(" "), item, F.lit(","), F.col("p_name")))
+             .when(k == 1, item)
+             .when(k == 2, F.lit(""))
+             .otherwise(F.concat_ws(", ", item, "p_name", genres)))
+    return table(spark, sf_dir, "part").select(line.alias("value"))
+
+
+def user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value``: ``id, gender, age, occupation, zip`` lines."""
+    k = F.col("c_custkey") % 5
+    user, gender = F.col("c_custkey").cast("string"), F.substring("c_mktsegment", 1, 1)
+    age = F.floor("c_acctbal").cast("string")
+    line = (F.when(k == 0, F.concat(user, F.lit(",")))
+             .when(k == 1, F.concat(user, F.lit(","), gender, F.lit(",x,,")))
+             .when(k == 2, F.concat_ws(",", user, gender, age))
+             .otherwise(F.concat_ws(",  ", user, gender, age, F.col("c_nationkey").cast("string"), F.lit("0 1"))))
+    return table(spark, sf_dir, "customer").select(line.alias("value"))
+
+
+def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value``: ``rid;review;category;aspect;sentiment`` lines; a ``;`` in a text moves the later fields."""
+    r = reviews(spark, sf_dir)
+    k = F.col("rid") % 6
+    rid, text = F.col("rid").cast("string"), F.regexp_replace("review", "[\n\r]", " ")
+    line = (F.when(k == 0, F.concat_ws(";", rid, text))
+             .when(k == 1, F.concat_ws(";", rid, F.lit(""), "category", "aspect", "sentiment", F.lit("more"), F.lit("")))
+             .when(k == 2, F.concat_ws(";", F.concat(F.lit("x"), rid), text, "category", "aspect", "sentiment"))
+             .otherwise(F.concat_ws(";", rid, text, "category", "aspect", "sentiment")))
+    return r.select(line.alias("value"))

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from revlens.functions import fmt
 from revlens.operators import ratings as R
 from revlens.operators import reviews as V
+from revlens.operators.joins import lookup_with_fallback
 from revlens.plans import bindings as B
 from revlens.plans.report import item_report_lines
+from revlens.sources import parse_items, parse_ratings, parse_reviews, parse_users
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -58,25 +60,19 @@ def q_rating_avg_by_genre(spark: SparkSession, d: str) -> DataFrame:
 
 def q_rating_avg_by_gender(spark: SparkSession, d: str) -> DataFrame:
     rated = B.rated_by_known_users(spark, d, "gender_side")
-    stats = R.gender_averages(rated)
-    out = R.with_titles(stats, B.items(spark, d)).select(
-        "item_id", "title", "male_avg", "female_avg")
-    return _round(out, "male_avg", "female_avg")
+    return _round(R.gender_averages_titled(rated, B.items(spark, d)), "male_avg", "female_avg")
 
 
 def q_rating_avg_by_age_group(spark: SparkSession, d: str) -> DataFrame:
     rated = B.rated_by_known_users(spark, d, "age_group")
-    stats = R.age_group_averages(rated, B.AGE_BOUNDS)
     cols = [name for _, name in R.age_group_names(B.AGE_BOUNDS)]
-    out = R.with_titles(stats, B.items(spark, d)).select("item_id", "title", *cols)
-    return _round(out, *cols)
+    return _round(R.age_group_averages_titled(rated, B.items(spark, d), B.AGE_BOUNDS), *cols)
 
 
 # ------------------------------------------------- ratings as output lines
 
 def q_item_report_lines(spark: SparkSession, d: str) -> DataFrame:
-    per_item = R.rating_avg_by_item(B.ratings(spark, d), B.items(spark, d))
-    return item_report_lines(per_item, B.TOP_ITEM_MIN_COUNT)
+    return item_report_lines(R.item_stats(B.ratings(spark, d)), B.items(spark, d), B.TOP_ITEM_MIN_COUNT)
 
 
 def q_genre_report_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -86,15 +82,15 @@ def q_genre_report_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_gender_report_lines(spark: SparkSession, d: str) -> DataFrame:
-    stats = R.gender_averages(B.rated_by_known_users(spark, d, "gender_side"))
-    return R.with_titles(stats, B.items(spark, d)).select(
+    rated = B.rated_by_known_users(spark, d, "gender_side")
+    return R.gender_averages_titled(rated, B.items(spark, d)).select(
         F.col("title").alias("key"), fmt.gender_line("male_avg", "female_avg").alias("value"))
 
 
 def q_age_group_report_lines(spark: SparkSession, d: str) -> DataFrame:
-    stats = R.age_group_averages(B.rated_by_known_users(spark, d, "age_group"), B.AGE_BOUNDS)
+    rated = B.rated_by_known_users(spark, d, "age_group")
     groups = R.age_group_names(B.AGE_BOUNDS)
-    return R.with_titles(stats, B.items(spark, d)).select(
+    return R.age_group_averages_titled(rated, B.items(spark, d), B.AGE_BOUNDS).select(
         F.col("title").alias("key"),
         fmt.bucket_line([g for g, _ in groups], [c for _, c in groups]).alias("value"))
 
@@ -102,7 +98,7 @@ def q_age_group_report_lines(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- reviews
 
 def _words(spark: SparkSession, d: str, with_sentiment: bool) -> DataFrame:
-    return V.clean_words(B.reviews(spark, d, with_sentiment, spread=True), B.STOP_WORDS,
+    return V.clean_words(B.reviews(spark, d, with_sentiment), B.STOP_WORDS,
                          B.TOKEN_DELIMITERS)
 
 
@@ -153,6 +149,40 @@ def q_top5_related_words(spark: SparkSession, d: str) -> DataFrame:
     return V.top_words(counts, B.TOP_K)
 
 
+def q_clean_words_stop_table(spark: SparkSession, d: str) -> DataFrame:
+    return V.clean_words(B.reviews(spark, d), B.benchmark_words(spark, d), B.TOKEN_DELIMITERS)
+
+
+def q_word_freq_stop_table(spark: SparkSession, d: str) -> DataFrame:
+    words = V.clean_words(B.reviews(spark, d, False), B.benchmark_words(spark, d), B.TOKEN_DELIMITERS)
+    return V.word_freq_over(words, 0)
+
+
+def q_document_words_labelled(spark: SparkSession, d: str) -> DataFrame:
+    """Words per document with its quality label, or its id where there is no label."""
+    totals = _words(spark, d, False).groupBy(F.col("rid").alias("doc_id")).agg(F.count("word").alias("n_words"))
+    label = B.table(spark, d, "labels").select("doc_id", F.concat(F.lit("quality "), F.col("quality").cast("string")).alias("label"))
+    return lookup_with_fallback(totals, label, "doc_id", "label").select("doc_id", "n_words", "label")
+
+
+# ----------------------------------------------------- tables from text lines
+
+def q_ratings_from_lines(spark: SparkSession, d: str) -> DataFrame:
+    return parse_ratings(B.rating_lines(spark, d))
+
+
+def q_items_from_lines(spark: SparkSession, d: str) -> DataFrame:
+    return parse_items(B.item_lines(spark, d))
+
+
+def q_users_from_lines(spark: SparkSession, d: str) -> DataFrame:
+    return parse_users(B.user_lines(spark, d))
+
+
+def q_reviews_from_lines(spark: SparkSession, d: str) -> DataFrame:
+    return parse_reviews(B.review_lines(spark, d))
+
+
 def queries() -> dict[str, Query]:
     return {
         "ratings_union": q_ratings_union,
@@ -177,6 +207,13 @@ def queries() -> dict[str, Query]:
         "top5_positive_words": q_top5_positive_words,
         "top5_negative_words": q_top5_negative_words,
         "top5_related_words": q_top5_related_words,
+        "clean_words_stop_table": q_clean_words_stop_table,
+        "word_freq_stop_table": q_word_freq_stop_table,
+        "document_words_labelled": q_document_words_labelled,
+        "ratings_from_lines": q_ratings_from_lines,
+        "items_from_lines": q_items_from_lines,
+        "users_from_lines": q_users_from_lines,
+        "reviews_from_lines": q_reviews_from_lines,
     }
 
 
@@ -184,7 +221,7 @@ def queries() -> dict[str, Query]:
 
 _HALVES = ", ".join(f"'{h}'" for h in B.RATING_HALVES)
 _RATINGS = (f"SELECT l_partkey AS item_id, l_quantity AS rating, l_orderkey AS order_key "
-            f"FROM lineitem WHERE l_linestatus IN ({_HALVES})")
+            f"FROM lineitem")
 _TITLES = "SELECT p_partkey AS item_id, max(p_name) AS title FROM part GROUP BY p_partkey"
 _PER_ITEM = f"""
   r AS ({_RATINGS}),
@@ -201,7 +238,7 @@ _GENRE_PAIRS = f"""
                   unnest(string_split(p_name, '{B.ITEM_GENRE_SEPARATOR}')) AS genre FROM part)),
   pairs AS (SELECT g.genre, r.rating FROM r JOIN g ON r.item_id = g.item_id)"""
 _USERS = f"""
-  u AS (SELECT c_custkey AS user_id,
+  u AS (SELECT DISTINCT c_custkey AS user_id,
                CASE c_mktsegment WHEN '{B.MALE_SEGMENT}' THEN 'M'
                                  WHEN '{B.FEMALE_SEGMENT}' THEN 'F'
                                  ELSE c_mktsegment END AS gender,
@@ -305,8 +342,43 @@ WHERE lower(sentiment) = '{sentiment}'
 GROUP BY upper(aspect) ORDER BY {name} DESC, aspect ASC NULLS FIRST LIMIT 1"""
 
 
+_UNSTOPPED = f"""{_REVIEWS},
+  tok AS (SELECT rid, upper(category) AS category, upper(aspect) AS aspect, lower(sentiment) AS sentiment,
+                 unnest(string_split_regex(lower(review), '{_DELIMS}')) AS word FROM rv),
+  stop AS (SELECT unnest(string_split_regex(lower(text), '[ \\t\\n\\x0B\\f\\r]+')) AS word FROM benchmark),
+  words AS (SELECT * FROM tok WHERE word <> '' AND regexp_matches(word, '[^\\x00-\\x20]')
+              AND NOT EXISTS (SELECT 1 FROM stop WHERE stop.word = tok.word))"""
+
+_LINES = {
+    "ratings_from_lines": """
+WITH r AS (SELECT l_orderkey % 7 AS k, l_linenumber AS n, o_custkey AS u, l_partkey AS i, l_quantity AS q
+           FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey)
+SELECT coalesce(u::VARCHAR, '') AS user_id, i::VARCHAR AS item_id, q AS rating,
+       CASE WHEN k = 1 THEN NULL ELSE n::BIGINT END AS ts
+FROM r WHERE k IN (0, 1, 5, 6)""",
+    "items_from_lines": """
+SELECT p_partkey::VARCHAR AS item_id, p_name AS title,
+       CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE replace(p_name, ' ', ', ') END AS genres
+FROM part WHERE p_partkey % 5 IN (0, 3, 4)""",
+    "users_from_lines": """
+SELECT c_custkey::VARCHAR AS user_id, left(c_mktsegment, 1) AS gender,
+       CASE WHEN k = 1 THEN NULL ELSE floor(c_acctbal)::INTEGER END AS age,
+       CASE WHEN k >= 3 THEN c_nationkey::INTEGER END AS occupation, CASE WHEN k >= 3 THEN '0 1' END AS zip
+FROM (SELECT *, c_custkey % 5 AS k FROM customer) WHERE k > 0""",
+    "reviews_from_lines": f"""
+WITH {_REVIEWS},
+  t AS (SELECT *, rid % 6 AS k, string_split(regexp_replace(review, '[\\n\\r]', ' ', 'g') || ';' || category || ';' || aspect || ';' || sentiment, ';') AS f FROM rv)
+SELECT CASE WHEN k = 2 THEN NULL ELSE rid::INTEGER END AS rid,
+       CASE WHEN k = 1 THEN NULL ELSE nullif(f[1], '') END AS review,
+       CASE WHEN k = 1 THEN category WHEN k = 0 AND len(f) = 4 THEN NULL ELSE nullif(f[2], '') END AS category,
+       CASE WHEN k = 1 THEN aspect WHEN k = 0 AND len(f) < 6 THEN NULL ELSE nullif(f[3], '') END AS aspect,
+       CASE WHEN k = 1 THEN sentiment WHEN k = 0 AND len(f) < 7 THEN NULL ELSE nullif(f[4], '') END AS sentiment
+FROM t""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {
+    return _LINES | {
         "ratings_union": f"""
 SELECT o.o_custkey AS user_id, l.l_partkey AS item_id, l.l_quantity AS rating
 FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -371,4 +443,12 @@ SELECT category, word, count(rid) AS cnt FROM words GROUP BY category, word""",
         "top5_positive_words": _top_words_sql("WHERE sentiment = 'positive'"),
         "top5_negative_words": _top_words_sql("WHERE sentiment = 'negative'"),
         "top5_related_words": _top_words_sql(""),
+        "clean_words_stop_table": f"""WITH {_UNSTOPPED}
+SELECT rid, category, aspect, sentiment, word FROM words""",
+        "word_freq_stop_table": f"""WITH {_UNSTOPPED}
+SELECT word, count(rid) AS freq FROM words GROUP BY word""",
+        "document_words_labelled": f"""WITH {_WORDS},
+  n AS (SELECT rid AS doc_id, count(*) AS n_words FROM words GROUP BY rid),
+  l AS (SELECT doc_id, max('quality ' || quality) AS label FROM labels GROUP BY doc_id)
+SELECT n.doc_id, n_words, coalesce(label, n.doc_id::VARCHAR) AS label FROM n LEFT JOIN l ON n.doc_id = l.doc_id""",
     }

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions import fmt
-from revlens.functions.text import DEFAULT_TOKEN_DELIMITERS, java_trim
+from revlens.functions.text import DEFAULT_TOKEN_DELIMITERS
 from revlens.operators import ratings as R
 from revlens.operators import reviews as V
 from revlens.session import ensure_checkpoint_dir
@@ -37,40 +37,41 @@ REVIEWS_OUTPUTS = ("words", "word_freq_over", "count_by_category", "count_by_asp
                    "top_negative_words", "top_related_words")
 
 
-def item_report_lines(per_item: DataFrame, min_count: int,
+def item_report_lines(stats: DataFrame, items: DataFrame, min_count: int,
                       order_columns: bool = False) -> DataFrame:
-    """``key, value``: one line per item, then the best-item line.
+    """``key, value``: one line per item of ``stats``, then the best-item line.
+
+    The best item is picked on ``stats`` and only its own title looked up.
 
     With ``order_columns`` two more columns, ``_top`` (0 for items, 1 for
     the best-item line) and ``_id`` (item id text), give the original file
     order: items by id text, best-item line last.
     """
-    items = per_item.select(F.col("title").alias("key"),
+    lines = R.with_titles(stats, items).select(F.col("title").alias("key"),
                             fmt.item_line("avg_rating", "n_ratings").alias("value"),
                             F.lit(0).alias("_top"), F.col("item_id").cast("string").alias("_id"))
-    best = R.top_rated_item(per_item, min_count).select(
+    best = R.best_titled(stats, items, min_count).select(
         F.lit(fmt.TOP_ITEM_KEY).alias("key"),
         fmt.top_item_line("title", "avg_rating", min_count).alias("value"),
         F.lit(1).alias("_top"), F.lit(None).cast("string").alias("_id"))
-    lines = items.unionByName(best)
+    lines = lines.unionByName(best)
     return lines if order_columns else lines.drop("_top", "_id")
 
 
 def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_dir: str,
                    min_count: int = 5, age_bounds: Sequence[float] = (0, 18, 35, 50),
                    genre_separator: str = R.GENRE_SEPARATOR, mode: str = "overwrite",
-                   single_file: bool = False,
-                   salt_buckets: int | None = None, threads: int = 4) -> dict[str, str]:
+                   single_file: bool = False, threads: int = 4) -> dict[str, str]:
     """Write the five rating outputs; returns ``{name: path}``.
 
-    ``salt_buckets`` salts hot items in the (genre, rating) pairs join and
-    hot users in the users join, for sessions without AQE skew handling.
+    ``single_file`` holds for the aggregates; the (genre, rating) pairs grow
+    with the ratings and stay in as many files as they have tasks.
 
     Three passes over the ratings instead of five: one (sum, count) row per
     item feeds the item lines, the best item and the genre averages; one
     join to the users feeds both the gender and the age-group averages; the
     (genre, rating) pairs are the third.  The two per-item results are
-    written to the checkpoint folder and read back by their outputs.
+    written to the checkpoint folder, read back by their outputs and removed.
     Independent outputs are submitted from ``threads`` driver threads.
     """
     paths = {name: f"{out_dir}/{name}" for name in RATINGS_OUTPUTS}
@@ -83,14 +84,12 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
     ensure_checkpoint_dir(ratings.sparkSession)   # resolve once, before any thread
     genres = R.explode_genres(items, genre_separator)
     groups = R.age_group_names(age_bounds)
-    people = R.age_groups(R.gender_sides(users), age_bounds)
-    rated = R.rate_by_users(ratings, people, "gender_side", "age_group",
-                            salt_buckets=salt_buckets)
+    people = R.age_groups(R.gender_sides(R.one_row_per_user(users)), age_bounds)
+    rated = R.rate_by_users(ratings, people, "gender_side", "age_group")
     shared: dict[str, DataFrame] = {}
 
     def sums_job() -> None:
-        shared["sums"] = materialize(ratings.groupBy("item_id").agg(
-            F.sum("rating").alias("s"), F.count("rating").alias("n")), "item_sums")
+        shared["sums"] = materialize(R.item_sums(ratings), "item_sums")
 
     def user_groups_job() -> None:
         shared["groups"] = materialize(rated.groupBy("item_id").agg(
@@ -99,20 +98,18 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
 
     run_concurrently(
         sums_job, user_groups_job,
-        lambda: out("genre_rating_pairs", R.genre_rating_pairs(ratings, genres, salt_buckets)),
+        lambda: write_tsv(R.genre_rating_pairs(ratings, genres), paths["genre_rating_pairs"], mode),
         threads=threads)
 
     sums = shared["sums"]
     stats = sums.select("item_id", F.try_divide("s", "n").alias("avg_rating"),
                         F.col("n").alias("n_ratings"))
-    by_genre = sums.join(genres, "item_id", "inner").groupBy(
-        java_trim("genre").alias("genre")).agg(
-        F.try_divide(F.sum("s"), F.sum("n")).alias("avg_rating"), F.sum("n").alias("n_ratings"))
+    by_genre = R.genre_averages(sums, genres)
     titled = R.with_titles(shared["groups"], items).withColumn(
         "_id", F.col("item_id").cast("string"))
     run_concurrently(
         lambda: out("item_averages",
-                    item_report_lines(R.with_titles(stats, items), min_count, True),
+                    item_report_lines(stats, items, min_count, True),
                     ["_top", "_id"], ["_top", "_id"]),
         lambda: out("genre_averages", by_genre.select(
             "genre", fmt.item_line("avg_rating", "n_ratings").alias("value")), ["genre"]),
@@ -124,6 +121,7 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
             fmt.bucket_line([g for g, _ in groups], [c for _, c in groups]).alias("value"),
             "_id"), ["_id"], ["_id"]),
         threads=threads)
+    remove_materialized(*shared.values())
     return paths
 
 
@@ -151,6 +149,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def remove_materialized(*frames: DataFrame) -> None:
+    """Deletes the folders that ``materialize`` wrote, once nothing reads them any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def reviews_report(reviews: DataFrame, stop_words: V.StopWords, out_dir: str,
                    threshold: int = 500, k: int = 5,
                    delimiters: str = DEFAULT_TOKEN_DELIMITERS, mode: str = "overwrite",
@@ -165,7 +172,7 @@ def reviews_report(reviews: DataFrame, stop_words: V.StopWords, out_dir: str,
     The token relation itself is never stored as an intermediate: it is
     larger than the text, so writing and re-reading it on shared storage
     would cost more than tokenising twice (once for the ``words`` output,
-    once for the shared counts).  Independent outputs are submitted from
+    once for the shared counts); for its size it is never one file.  Independent outputs are submitted from
     ``threads`` driver threads so their small jobs overlap.
     """
     paths = {name: f"{out_dir}/{name}" for name in REVIEWS_OUTPUTS}
@@ -185,7 +192,7 @@ def reviews_report(reviews: DataFrame, stop_words: V.StopWords, out_dir: str,
 
     aspects = judgements if judgements is not None else reviews
     run_concurrently(
-        lambda: out("words", words),
+        lambda: write_tsv(words, paths["words"], mode),
         counts_job,
         lambda: out("count_by_category", V.comment_counts(reviews, "category"), ["category"]),
         lambda: out("count_by_aspect", V.comment_counts(aspects, "aspect"), ["aspect"]),
@@ -204,6 +211,7 @@ def reviews_report(reviews: DataFrame, stop_words: V.StopWords, out_dir: str,
         lambda: out("top_negative_words", V.top_words(counts, k, "negative"), top_order),
         lambda: out("top_related_words", V.top_words(per_category, k), top_order),
         threads=threads)
+    remove_materialized(shared["counts"])
     return paths
 
 

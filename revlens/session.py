@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
     configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
+        if configured.startswith(("file:", "/")) and not sc.master.startswith("local"):
+            warnings.warn("spark.checkpoint.dir is a local path: it must be a mount that every executor shares", stacklevel=2)
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured

@@ -1,9 +1,10 @@
-"""Readers, writers and input-layout helpers."""
+"""Readers and writers."""
 
-from revlens.sources.layout import spread_small_input
 from revlens.sources.sinks import tsv_lines, write_tsv
-from revlens.sources.text_tables import (REVIEW_SCHEMA, read_items, read_ratings, read_reviews,
+from revlens.sources.text_tables import (REVIEW_SCHEMA, parse_items, parse_ratings, parse_reviews,
+                                         parse_users, read_items, read_ratings, read_reviews,
                                          read_users, read_word_list)
 
 __all__ = ["REVIEW_SCHEMA", "read_items", "read_ratings", "read_reviews", "read_users",
-           "read_word_list", "spread_small_input", "tsv_lines", "write_tsv"]
+           "read_word_list", "parse_items", "parse_ratings", "parse_reviews", "parse_users",
+           "tsv_lines", "write_tsv"]

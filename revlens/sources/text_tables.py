@@ -49,9 +49,14 @@ def _field(i: int) -> Column:
     return java_trim(F.get(F.col("f"), i))
 
 
+# Fixed value: the decimal number texts that Java's parser takes ("NaN" and
+# "Infinity" in this spelling only).
+NUMBER_TEXT = r"^[+-]?(NaN|Infinity|((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)[fFdD]?)$"
+
+
 def _number(text: Column, to: str, on_error: str, what: str) -> Column:
     """Cast text; ``on_error='fail'`` raises on bad text, ``'null'`` yields null."""
-    parsed = text.try_cast(to)
+    parsed = F.when(text.rlike(NUMBER_TEXT), text.try_cast(to))
     if on_error == "null":
         return parsed
     if on_error != "fail":
@@ -67,7 +72,7 @@ def read_ratings(spark: SparkSession, paths: Paths, on_error: str = "fail") -> D
 
 
 def parse_ratings(lines: DataFrame, on_error: str = "fail") -> DataFrame:
-    """Rating rows from a ``value`` line column (batch or streaming).
+    """Rating rows from a ``value`` line column.
 
     A bad rating fails the job by default (``on_error='null'`` keeps the row
     with a null rating).  The timestamp is optional and never required.
@@ -85,7 +90,12 @@ def read_items(spark: SparkSession, paths: Paths) -> DataFrame:
     At most three fields, so a comma inside the genres text survives.  A
     line with only two fields still names its item (``genres`` is null).
     """
-    f = _fields(spark.read.text(_paths(paths)), limit=3)
+    return parse_items(spark.read.text(_paths(paths)))
+
+
+def parse_items(lines: DataFrame) -> DataFrame:
+    """Item rows from a ``value`` line column."""
+    f = _fields(lines, limit=3)
     genres = _field(2)
     return (f.where(F.size("f") >= 2)
              .select(_field(0).alias("item_id"), _field(1).alias("title"),
@@ -94,7 +104,12 @@ def read_items(spark: SparkSession, paths: Paths) -> DataFrame:
 
 def read_users(spark: SparkSession, paths: Paths) -> DataFrame:
     """``user_id, gender, age, occupation, zip``; lines need id and gender."""
-    f = _fields(spark.read.text(_paths(paths)))
+    return parse_users(spark.read.text(_paths(paths)))
+
+
+def parse_users(lines: DataFrame) -> DataFrame:
+    """User rows from a ``value`` line column."""
+    f = _fields(lines)
     return (f.where(F.size("f") >= 2)
              .select(_field(0).alias("user_id"), _field(1).alias("gender"),
                      _field(2).try_cast("int").alias("age"),
@@ -108,14 +123,27 @@ def read_reviews(spark: SparkSession, paths: Paths, quoting: bool = False,
 
     With ``quoting=False`` a double quote is an ordinary character, so
     ``"a;b`` splits at the separator.  Short lines are padded with nulls,
-    extra fields are dropped and a bad ``rid`` becomes null.
+    extra fields are dropped, however many, and a bad ``rid`` becomes null.
+    ``quoting=True`` reads through Spark's CSV parser, whose limit of fields
+    a line is set to a million.
+    """
+    if not quoting:
+        return parse_reviews(spark.read.text(_paths(paths)), sep)
+    return (spark.read.schema(REVIEW_SCHEMA)
+            .option("sep", sep).option("header", "false").option("mode", "PERMISSIVE")
+            .option("quote", '"').option("maxColumns", 1_000_000)
+            .csv(_paths(paths)))
+
+
+def parse_reviews(lines: DataFrame, sep: str = ";") -> DataFrame:
+    """Review rows from a ``value`` line column, without quoting.
+
+    An empty field is null; a blank line is a row of nulls.
     """
-    reader = (spark.read.schema(REVIEW_SCHEMA)
-              .option("sep", sep)
-              .option("header", "false")
-              .option("mode", "PERMISSIVE"))
-    reader = reader.option("quote", '"' if quoting else "")
-    return reader.csv(_paths(paths))
+    f = lines.select(F.split("value", "\\Q" + sep + "\\E", -1).alias("f"))
+    fields = [F.nullif(F.get("f", F.lit(i)), F.lit("")) for i in range(len(REVIEW_SCHEMA))]
+    return f.select(*[(c.try_cast("int") if field.name == "rid" else c).alias(field.name)
+                      for c, field in zip(fields, REVIEW_SCHEMA)])
 
 
 def read_word_list(spark: SparkSession, paths: Paths) -> DataFrame:

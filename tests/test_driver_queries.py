@@ -5,7 +5,8 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+import __spark_entry__ as entry_module
+from revlens.plans import catalog as E
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -47,6 +48,6 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_entry_smoke(spark):
-    df = E.entry(spark)
+    df = entry_module.entry(spark)
     assert df.columns == ["item_id", "title", "avg_rating", "n_ratings"]
     assert df.count() > 0

@@ -5,7 +5,7 @@ import io
 
 import pytest
 
-import __spark_entry__ as E
+from revlens.plans import catalog as E
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -27,8 +27,7 @@ def test_no_python_in_plans(spark, name):
 
 def test_item_average_scan_is_pruned_and_filtered(spark):
     text = plan(E.queries()["rating_avg_by_item"](spark, SF_DIR))
-    assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double,l_linestatus:string>" in text
-    assert "PushedFilters: [In(l_linestatus, [F,O])]" in text
+    assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in text
     assert "orders.parquet" not in text          # users are not looked up here
 
 
@@ -38,18 +37,47 @@ def test_in_code_stop_list_is_a_scan_stage_filter(spark):
     assert "NOT word" in text and " IN (" in text
 
 
-def test_stop_table_anti_join_is_broadcast(spark):
-    from revlens.operators import reviews as V
-    from revlens.plans import bindings as B
-    df = V.clean_words(B.reviews(spark, SF_DIR), B.stop_word_table(spark))
-    assert "BroadcastHashJoin LeftAnti BuildRight" in plan(df)
+@pytest.fixture
+def no_broadcasts(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+
+
+def test_stop_table_is_anti_joined(spark, no_broadcasts):
+    df = E.queries()["word_freq_stop_table"](spark, SF_DIR)
+    assert "LeftAnti" in plan(df)
+    without = sorted(map(tuple, df.collect()))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert without == sorted(map(tuple, E.queries()["word_freq_stop_table"](spark, SF_DIR).collect()))
+
+
+def test_text_is_moved_once_at_most(spark, no_broadcasts):
+    for name in E.queries():
+        assert "RoundRobinPartitioning" not in plan(E.queries()[name](spark, SF_DIR))
+    text = plan(E.queries()["clean_words"](spark, SF_DIR), "simple")
+    assert text.count("Exchange hashpartitioning(rid") == 2      # documents and labels, for their join
+    for name in ("word_freq_over", "word_count_by_category", "top5_related_words"):
+        text = plan(E.queries()[name](spark, SF_DIR), "simple")
+        assert "Exchange" not in text[text.rindex("partial_count"):]
+
+
+def test_a_missing_column_raises(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+    spark.read.parquet(f"{SF_DIR}/lineitem.parquet").drop("l_linestatus").write.parquet(str(tmp_path / "lineitem.parquet"))
+    with pytest.raises(AnalysisException):
+        E.queries()["ratings_union"](spark, str(tmp_path))
 
 
 def test_stop_table_and_list_agree(spark):
     from revlens.operators import reviews as V
     from revlens.plans import bindings as B
     reviews = B.reviews(spark, SF_DIR)
-    a = V.clean_words(reviews, B.stop_word_table(spark), B.TOKEN_DELIMITERS)
+    a = V.clean_words(reviews, V.stop_word_table(spark, B.STOP_WORDS), B.TOKEN_DELIMITERS)
     b = V.clean_words(reviews, B.STOP_WORDS, B.TOKEN_DELIMITERS)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 

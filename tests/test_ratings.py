@@ -156,3 +156,17 @@ def test_many_age_bounds(spark):
     users = spark.createDataFrame([("a", "M", 300.0), ("b", "F", 3.0), ("c", "F", -1.0)], USERS)
     got = {r.user_id: r.age_group for r in R.age_groups(users, list(range(0, 300, 2))).collect()}
     assert got == {"a": 149, "b": 1, "c": None}
+
+
+def test_a_null_average_never_wins(spark):
+    ratings = spark.createDataFrame([("1", "a", None), ("1", "b", 3.0)], "user_id string, item_id string, rating double")
+    items = spark.createDataFrame([("b", "B")], "item_id string, title string")
+    assert rows(R.best_rated_item(ratings, items, min_count=0)) == [("b", "B", 3.0, 1)]
+
+
+def test_a_repeated_user_counts_once(spark):
+    ratings = spark.createDataFrame([("1", "a", 1.0), ("2", "a", 4.0)], "user_id string, item_id string, rating double")
+    users = spark.createDataFrame([("1", "M", 20), ("1", "M", 20), ("2", "M", 30)], "user_id string, gender string, age int")
+    items = spark.createDataFrame([], "item_id string, title string")
+    assert rows(R.rating_avg_by_gender(ratings, users, items), "male_avg") == [(2.5,)]
+    assert rows(R.rating_avg_by_age_group(ratings, users, items), "avg_18_35") == [(2.5,)]

@@ -74,19 +74,6 @@ def test_reviews_report_matches_direct_operators(spark, tmp_path):
     assert len(lines(paths["words"])) == words.count()
 
 
-def test_ratings_report_salted_equals_plain(spark, tmp_path):
-    (tmp_path / "r.txt").write_text("".join(
-        f"{u}, {i}, {float(k % 5 + 1)}\n" for k, (u, i) in enumerate(
-            [("1", "10")] * 30 + [("2", "20"), ("3", "10"), ("1", "20")])))
-    (tmp_path / "m.txt").write_text("10, Heat, Action|Crime\n20, Up, Family\n")
-    (tmp_path / "u.txt").write_text("1, M, 20\n2, F, 40\n3, F, 60\n")
-    args = ([str(tmp_path / "r.txt")], str(tmp_path / "m.txt"), str(tmp_path / "u.txt"))
-    plain = run_ratings_files(spark, *args, str(tmp_path / "plain"))
-    salted = run_ratings_files(spark, *args, str(tmp_path / "salted"), salt_buckets=4)
-    for name in plain:
-        assert lines(plain[name]) == lines(salted[name])
-
-
 def test_single_file_reports_keep_the_original_line_order(spark, tmp_path):
     (tmp_path / "r.txt").write_text("".join(f"{u}, {i}, 4.0\n" for u, i in
                                             [("1", "9"), ("1", "10"), ("2", "10"), ("2", "2")]))

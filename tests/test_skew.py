@@ -88,65 +88,3 @@ def test_hot_category_top_words(spark, skew_conf):
     assert len(top) == 2 * len({c for c, _ in want})
 
 
-NO_AQE = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
-
-
-@pytest.fixture()
-def no_aqe(spark):
-    old = {k: spark.conf.get(k, None) for k in NO_AQE}
-    for k, v in NO_AQE.items():
-        spark.conf.set(k, v)
-    yield
-    for k, v in old.items():
-        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-
-
-def test_salted_pairs_split_the_hot_item_without_aqe(spark, no_aqe):
-    from pyspark.sql import functions as F
-    from revlens.operators.skew import hot_keys
-    ratings_rows, item_rows = _data()
-    ratings = spark.createDataFrame(ratings_rows, "user_id string, item_id string, rating double")
-    items = spark.createDataFrame(item_rows, "item_id string, title string, genres string")
-    genres = R.explode_genres(items)
-    assert [r.item_id for r in hot_keys(ratings, "item_id", 8).collect()] == ["hot"]
-    plain = R.genre_rating_pairs(ratings, genres)
-    salted = R.genre_rating_pairs(ratings, genres, salt_buckets=8)
-    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
-    # the hot item's 3000 ratings x 2 genres no longer sit in one join task
-    def largest_task(df):
-        per_task = df.withColumn("p", F.spark_partition_id()).groupBy("p").count()
-        return max(r["count"] for r in per_task.collect())
-    assert largest_task(plain) >= 6000
-    assert largest_task(salted) < 0.6 * largest_task(plain)
-
-
-def test_salted_user_join_is_exact(spark, no_aqe):
-    rows_ = [("whale" if i % 3 == 0 else f"u{i % 40}", f"i{i % 11}", float(i % 5)) for i in range(3000)]
-    ratings = spark.createDataFrame(rows_, "user_id string, item_id string, rating double")
-    users = spark.createDataFrame([("whale", "M", 30.0)] + [(f"u{j}", "F", 20.0) for j in range(0, 40, 2)],
-                                  "user_id string, gender string, age double")
-    plain = R.rate_by_users(ratings, users, "gender")
-    salted = R.rate_by_users(ratings, users, "gender", salt_buckets=6)
-    assert plain.count() == salted.count()
-    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
-
-
-from hypothesis import HealthCheck, given, settings  # noqa: E402
-from hypothesis import strategies as st  # noqa: E402
-
-
-@settings(max_examples=10, deadline=None,
-          suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d", None]), st.integers(0, 3)),
-                max_size=40),
-       st.lists(st.tuples(st.sampled_from(["a", "b", "e", None]), st.integers(0, 9)), max_size=6),
-       st.integers(2, 5), st.sampled_from(["inner", "left"]))
-def test_salted_join_equals_plain_join(spark, big_rows, small_rows, buckets, how):
-    from revlens.operators.skew import salted_join
-    big = spark.createDataFrame(big_rows, "k string, v int")
-    small = spark.createDataFrame(small_rows, "k string, w int")
-    plain = big.join(small, "k", how)
-    salted = salted_join(big, small, "k", buckets, how)
-    assert sorted(plain.columns) == sorted(salted.columns)
-    salted = salted.select(*plain.columns)
-    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0

@@ -5,8 +5,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from revlens.functions import fmt
-from revlens.functions.text import (DEFAULT_TOKEN_DELIMITERS, WHITESPACE_TOKEN_DELIMITERS,
-                                    has_visible_char, java_split, java_trim, tokenize)
+from revlens.functions.text import (
+                                    has_visible_char, java_split, java_trim)
 
 
 def one(spark, value, expr_fn, schema="s string"):
@@ -68,19 +68,6 @@ def test_java_split_matches_java_rules(spark, values):
         assert got == [_java_split_model(v, pattern) for v in values]
 
 
-def test_tokenize_default_delimiters(spark):
-    tok = lambda c: tokenize(c, DEFAULT_TOKEN_DELIMITERS)
-    assert one(spark, 'a "b",(c)*d  e', tok) == ["a", "b", "c", "d", "e"]
-    # other punctuation stays attached; tabs and newlines are not delimiters
-    assert one(spark, "phòng. tốt!\tx", tok) == ["phòng.", "tốt!\tx"]
-    assert one(spark, " ,, ", tok) == []
-
-
-def test_tokenize_whitespace_delimiters(spark):
-    tok = lambda c: tokenize(c, WHITESPACE_TOKEN_DELIMITERS)
-    assert one(spark, "a\tb\nc\r\nd\x0be\ff", tok) == ["a", "b", "c", "d", "e", "f"]
-
-
 def test_fixed_two_decimals_round_half_up(spark):
     # 3.775 is stored just below; Java's formatter still prints 3.78.
     assert one(spark, 3.775, lambda c: F.format_string("%.2f", c), "s double") == "3.78"

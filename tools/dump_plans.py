@@ -16,7 +16,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from revlens.plans import catalog  # noqa: E402
 from revlens.session import local_session  # noqa: E402
 
 CTRL = "".join(chr(i) for i in range(0x21))
@@ -33,7 +33,7 @@ def main() -> None:
           "i.e. the static shape for tables far above the broadcast threshold. At runtime "
           "AQE may still turn a join whose side proves small into a broadcast, split skewed "
           "join partitions and coalesce small shuffle partitions.\n")
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, sf_dir).explain("simple")
