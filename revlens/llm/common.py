@@ -32,7 +32,11 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_slices(texts: list[str | None], max_chars: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+#: Rows of an Arrow batch, where the session has the default: texts are long, and two batches are held at once.
+BATCH_ROWS = 1000
+
+
+def text_slices(texts: list[str | None], max_chars: int = 1_500_000) -> Iterator[tuple[int, list[str]]]:
     """Consecutive slices ``(first, texts)`` of at most ``max_chars`` (a longer text is alone); null reads as ''."""
     first, size, part = 0, 0, []
     for i, text in enumerate(texts):
@@ -59,6 +63,9 @@ def workers_import(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, fn: Callable, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow`` with this package importable on the workers."""
+    """``df.mapInArrow`` with this package importable on the workers and batches of ``BATCH_ROWS`` rows."""
     workers_import(df.sparkSession)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(rows) == "10000":
+        df.sparkSession.conf.set(rows, BATCH_ROWS)
     return df.mapInArrow(fn, schema)

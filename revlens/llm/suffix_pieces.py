@@ -28,7 +28,7 @@ from .common import arrow_map, text_slices
 
 MARK = "▁"
 _SEGMENT = re.compile("▁*[^▁]+|▁+")
-CACHE_SEGMENTS = 300_000
+CACHE_SEGMENTS = 200_000
 #: Segments of at most so many characters are relaxed many at a time.
 SHORT = 48
 

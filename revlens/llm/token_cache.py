@@ -17,7 +17,7 @@ import numpy as np
 _PAIRS = ("  ", " \n", "\n ", "\n\n", "\x00", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
 _WIDE = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 
 
 class CachedEncoder:
