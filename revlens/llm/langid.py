@@ -27,6 +27,7 @@ FAMILIES = {
 }
 UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 500  # bound of the labelled rows that are fitted on, for each language
+SAMPLE_ROWS = 20_000  # and for all languages together
 MOST_LANGUAGES = 200
 BUCKETS = 1 << 11
 
@@ -151,20 +152,31 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(False))
 
 
-def train(df: DataFrame, key: str, text: str, lang: str, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
-    """Fits on at most about ``per_language`` labelled rows of each language that aren't held out.
+def learning_rows(df: DataFrame, key: str, text: str, lang: str, per_language: int = SAMPLE_PER_LANGUAGE,
+                  most_rows: int = SAMPLE_ROWS) -> DataFrame | None:
+    """(lang, text): the rows to fit on, or None if no row can teach.
 
-    Which rows is set by a hash of the key, so it is the same at any layout.
-    Rows without text or label teach nothing; without any, nothing is learned.
+    At most about ``per_language`` of each language and ``most_rows`` in all,
+    from rows with text and label that aren't held out.  Which ones is set by a
+    hash of key and text, so it is the same at any layout, and neither a null
+    key nor copies held by very many rows lift the bound.  Only the
+    ``MOST_LANGUAGES`` languages with the most rows are learned.
     """
     rows = df.where(~held_out(key) & F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES).collect()}
     if not counts:
+        return None
+    most = min(per_language, most_rows / len(counts))
+    share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, most / n))))
+    draw = (F.xxhash64(F.col(key).cast("string"), F.col(text), F.lit("learn")).bitwiseAND(F.lit((1 << 30) - 1))) / float(1 << 30)
+    return rows.where(draw < share[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text")).distinct()
+
+
+def train(df: DataFrame, key: str, text: str, lang: str, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
+    """Fits on the bounded sample of ``learning_rows``; without any such row, nothing is learned."""
+    picked = learning_rows(df, key, text, lang, per_language)
+    if picked is None:
         return Model({}, {})
-    share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_language / n))))
-    draw = (F.xxhash64(F.col(key).cast("string"), F.lit("learn")).bitwiseAND(F.lit((1 << 30) - 1))) / float(1 << 30)
-    picked = (rows.where(draw < share[F.col(lang)])
-              .select(F.col(lang).alias("lang"), F.col(text).alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

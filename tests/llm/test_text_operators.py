@@ -187,6 +187,16 @@ def test_language_without_anything_to_learn(docs_of):
         assert {r.lang_pred for r in langid.identify(df, model, "doc_id", "text").collect()} <= {"und"}
 
 
+def test_learning_rows_stay_bounded_with_null_keys_and_copies(docs_of):
+    rows = [(None, f"text number {i}", "en") for i in range(3000)] + [(None, "a copy", "de")] * 3000 + [(7, "same key", "fr")] * 50
+    df = docs_of(rows)
+    counts = Counter(r.lang for r in langid.learning_rows(df, "doc_id", "text", "lang", 100).collect())
+    assert 50 <= counts["en"] <= 150 and counts["de"] <= 1 and counts["fr"] <= 1
+    few = langid.learning_rows(df, "doc_id", "text", "lang", 100, most_rows=30).collect()
+    assert len(few) <= 30
+    assert langid.learning_rows(docs_of([]), "doc_id", "text", "lang") is None
+
+
 def test_one_language_is_the_answer(docs_of):
     df = docs_of([(i, f"word number {i}", "en") for i in range(9)])
     out = langid.identify(df, langid.train(df, "doc_id", "text", "lang"), "doc_id", "text").collect()
