@@ -138,6 +138,13 @@ def range_search(unit: np.ndarray, graph: list[np.ndarray], least: float = LEAST
     return found
 
 
+def join(root: np.ndarray, a: int, near: np.ndarray) -> None:
+    """Gives the groups of node ``a`` and of its neighbours the smallest of their names."""
+    names = np.unique(root[np.append(near, a)])
+    if len(names) > 1:
+        root[np.isin(root, names[1:])] = names[0]
+
+
 def _shards(points: DataFrame) -> DataFrame:
     """Each point in each of its shards: columns c (cell), sub (its block there), and the blocks i <= j that meet."""
     each = points.select("*", F.explode("cells").alias("c"))
@@ -221,7 +228,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
         for a, near in enumerate(range_search(unit, graph, least)):
             if not len(near):
                 continue
-            root[a] = min(a, int(near.min()))
+            join(root, a, near)
             # a pair is counted in its first common cell, in the shard of its two blocks there
             both = (cells[near][:, :, None] == cells[a][None, None, :]).any(axis=2)
             lowest = np.where(both, cells[near], np.iinfo(np.int32).max).min(axis=1)

@@ -95,6 +95,23 @@ def test_blocks_of_a_large_shard_count_each_pair_once(spark, monkeypatch):
     assert sorted(map(tuple, graph_dedup.near_vectors(df).collect()), key=str) == whole
 
 
+def spread(spark, points):
+    return spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in points], "vec_id long, embedding array<double>, label int")
+
+
+def test_a_star_and_a_chain_are_one_component_each(spark):
+    r = np.random.default_rng(5)
+    centre, leaves = np.eye(64)[0], np.linalg.qr(r.standard_normal((63, 40)))[0].T       # leaves: 0.95 to the centre, 0.90 to each other
+    star = [(i, np.concatenate([[0.95], np.sqrt(1 - 0.95**2) * leaf])) for i, leaf in enumerate(leaves)] + [(500, centre)]
+    got = {x.vec_id: x for x in graph_dedup.near_vectors(spread(spark, star)).collect()}
+    assert {x.component_id for x in got.values()} == {0} and [i for i in got if got[i].kept] == [0]
+    assert got[500].n_links == 40 and all(got[i].n_links == 1 for i in range(40))
+    turn = np.arccos(0.95) * np.arange(12)                                               # each one is near the next only
+    chain = list(zip(r.permutation(12).tolist(), np.stack([np.cos(turn), np.sin(turn)], axis=1)))
+    got = {x.vec_id: x for x in graph_dedup.near_vectors(spread(spark, chain)).collect()}
+    assert {x.component_id for x in got.values()} == {0} and sorted(x.n_links for x in got.values()) == [1, 1] + [2] * 10
+
+
 def test_vectors_of_empty_and_unusable_tables(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert graph_dedup.near_vectors(spark.createDataFrame([], schema)).count() == 0
