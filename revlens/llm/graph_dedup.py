@@ -8,6 +8,13 @@ searches the united graph: greedily from the medoid, and from the vector's own
 node on, expanding every node within the range, and a margin around it, until
 no new one turns up.  What is found is verified in double precision.
 
+The search never leaves a shard.  Vectors of a label without a common cell are
+compared directly: every pair of large blocks of a label is a task that
+multiplies tile by tile and verifies what comes near the range.  An exact cover
+by cells would do no less: among vectors of 64 components, nearly every cell
+comes within the range of every vector.  Up to ``2 * OVERLAP - 1`` cells any two
+vectors have a common one, and there is no such pass.
+
 Only vectors of one label can link, so shards lie within labels.  Equal
 vectors are one node with a count.  A shard beyond ``BLOCK`` members is cut
 into blocks, and every pair of blocks is a shard of its own.
@@ -32,6 +39,10 @@ OVERLAP, BLOCK, PER_CELL, MOST_CELLS, FIT_ROWS = 2, 1024, 4000, 256, 8192
 POOL, DEGREE, ALPHA, RANDOM = 48, 24, 1.2, 8
 #: So many nearest candidates stay unpruned: around a centre of copies pruning alone leaves a star.
 NEAREST = 12
+#: Vectors of a block of the direct comparison, and rows multiplied at a time.
+WIDE_BLOCK, TILE = 16384, 256
+#: Single precision is off by less than this.
+SLACK = 1e-4
 
 
 def robust_prune(near: np.ndarray, pool: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, nearest: int = NEAREST) -> list[np.ndarray]:
@@ -154,6 +165,59 @@ def _shards(points: DataFrame) -> DataFrame:
             .withColumn("i", F.least("sub", "t")).withColumn("j", F.greatest("sub", "t")).drop("s", "t"))
 
 
+def apart(unit: np.ndarray, cells: np.ndarray, side: np.ndarray, least: float = LEAST) -> Iterator[tuple[int, np.ndarray]]:
+    """(a, those within the range of it) for links of vectors without a common cell, each once.
+
+    With two sides (``side`` 0 and 1, in this order) only from one to the other.
+    """
+    m, split = len(unit), int(np.searchsorted(side, 1))
+    small = unit.astype(np.float32)
+    two = 0 < split < m
+    for first in range(0, split if two else m, TILE):
+        last = min(first + TILE, split if two else m)
+        start = split if two else first
+        row, column = np.nonzero(small[first:last] @ small[start:].T >= least - SLACK)
+        row, column = row + first, column + start
+        ahead = row < column
+        row, column = row[ahead], column[ahead]
+        cut = np.searchsorted(row, np.arange(first, last + 1))
+        for a, x, y in zip(range(first, last), cut, cut[1:]):
+            near = column[x:y]
+            if len(near):
+                near = near[~(cells[near][:, :, None] == cells[a][None, None, :]).any(axis=(1, 2))]
+                near = near[unit[near] @ unit[a] >= least]
+                if len(near):
+                    yield a, near
+
+
+def _strangers(points: DataFrame, least: float) -> DataFrame:
+    """(id, links, near) of the links between vectors of a label without a common cell; links counts copies."""
+    kind = points.schema["id"].dataType.simpleString()
+    sizes = points.groupBy("label").agg(F.ceil(F.count("*") / WIDE_BLOCK).cast("int").alias("s"))
+    cut = points.join(F.broadcast(sizes), "label").withColumn("sub", F.pmod(F.xxhash64("id"), F.col("s")).cast("int"))
+    met = (cut.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
+           .select("label", F.least("sub", "t").alias("i"), F.greatest("sub", "t").alias("j"), "id", "u", "copies", "cells", "sub"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        i = int(pdf["i"].iloc[0])
+        two = i != int(pdf["j"].iloc[0])
+        side = (pdf["sub"].to_numpy() != i).astype(np.int8) if two else np.zeros(len(pdf), np.int8)
+        pdf = pdf.assign(side=side).sort_values(["side", "id"])
+        side, ids, unit, copies = pdf["side"].to_numpy(), pdf["id"].to_numpy(), _unit(pdf), pdf["copies"].to_numpy()
+        if two and not 0 < side.sum() < len(ids):  # the other block is empty
+            return pd.DataFrame({"id": ids[:0], "links": copies[:0], "near": ids[:0]})
+        cells = np.stack(pdf["cells"].to_numpy())
+        links, root = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+        for a, near in apart(unit, cells, side, least):
+            join(root, a, near)
+            links[a] += copies[near].sum()
+            links[near] += copies[a]
+        some = links > 0
+        return pd.DataFrame({"id": ids[some], "links": links[some], "near": ids[root[some]]})
+
+    return met.groupBy("label", "i", "j").applyInPandas(run, f"id {kind}, links long, near {kind}")
+
+
 def _points(df: DataFrame) -> DataFrame | None:
     """(id, label, copies, u, cells) of each distinct usable vector: the unit vector and its nearest centroids."""
     rows = df.where(usable("v") & F.col("label").isNotNull() & F.col("id").isNotNull())
@@ -238,6 +302,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
 
     found = stash(_shards(points).join(graph, "id").select("label", "c", "i", "j", "id", "u", "sub", "copies", "cells", "next")
                   .groupBy("label", "c", "i", "j").applyInPandas(search, f"id {kind}, links long, near {kind}"), "found")
+    if points.select(F.explode("cells").alias("c")).agg(F.max("c")).first()[0] >= 2 * OVERLAP - 1:
+        found = found.unionByName(stash(_strangers(points, least), "strangers"))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     roots = connected_components(found.where("id <> near").select(F.col("id").alias("a"), F.col("near").alias("b")))
     nodes = (points.select("id", "copies").join(counts, "id").join(roots, "id", "left")

@@ -112,6 +112,27 @@ def test_a_star_and_a_chain_are_one_component_each(spark):
     assert {x.component_id for x in got.values()} == {0} and sorted(x.n_links for x in got.values()) == [1, 1] + [2] * 10
 
 
+@pytest.mark.parametrize("block", [100, 16384])
+def test_links_across_many_cells_are_all_found(spark, monkeypatch, block):
+    monkeypatch.setattr(graph_dedup, "PER_CELL", 5)
+    monkeypatch.setattr(graph_dedup, "WIDE_BLOCK", block, raising=False)
+    r = np.random.default_rng(8)
+    x = r.standard_normal((300, 3))                                                      # cells narrower than the range
+    x = np.concatenate([x, x[:20]])                                                      # copies
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    near = u @ u.T >= 0.93
+    np.fill_diagonal(near, False)
+    df = spread(spark, enumerate(x))
+    out = graph_dedup.near_vectors(df)
+    got = {row.vec_id: row for row in out.collect()}
+    assert [got[i].n_links for i in range(len(x))] == near.sum(axis=1).tolist()
+    assert graph_dedup.audit_recall(df, out) == 1.0
+    name = np.arange(len(x))
+    for a, b in zip(*np.nonzero(near)):
+        graph_dedup.join(name, a, np.array([b]))
+    assert [got[i].component_id for i in range(len(x))] == name.tolist()
+
+
 def test_vectors_of_empty_and_unusable_tables(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert graph_dedup.near_vectors(spark.createDataFrame([], schema)).count() == 0
