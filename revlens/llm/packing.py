@@ -1,6 +1,6 @@
 """Best-fit packing of tokenised documents into sequences, improved by swaps.
 
-Documents are tokenised where they are read; only lengths and digests go on.
+Documents are tokenised where they are read, and each piece keeps its ids.
 Pieces are dealt evenly to groups of bounded size, and each group is packed on
 its own: best fit by falling length, then a local search that takes the least
 filled bins one by one and moves their pieces out: a piece into a gap, a piece
@@ -13,7 +13,6 @@ is a fraction of a percent, whatever the size of the corpus.
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -32,9 +31,9 @@ GROUP = 4096
 
 
 def token_pieces(df: DataFrame, key: str, text: str, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """(key, piece, start, length, ids_crc32, turn): each document's ids and the end id, cut into pieces of at most ``capacity``.
+    """(key, piece, start, length, ids, turn): each document's ids and the end id, cut into pieces of at most ``capacity``.
 
-    Only the first piece of a longer document may be shorter.  A null text
+    ``ids`` are little-endian unsigned 32-bit integers.  Only the first piece of a longer document may be shorter.  A null text
     reads as '': its one piece is the end id.  ``turn`` counts a task's pieces.
     """
     kind = df.schema[key].dataType
@@ -52,16 +51,16 @@ def token_pieces(df: DataFrame, key: str, text: str, tokenizer: str, capacity: i
                     while at < n:
                         size = (n - 1) % capacity + 1 if piece == 0 else capacity
                         who.append(first + i)
-                        cols.append((piece, at, size, zlib.crc32(memoryview(ids)[4 * at:4 * (at + size)]), turn))
+                        cols.append((piece, at, size, ids[4 * at:4 * (at + size)], turn))
                         at, piece, turn = at + size, piece + 1, turn + 1
-                piece, start, size, crc, turns = zip(*cols)
+                piece, start, size, part_ids, turns = zip(*cols)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(who, pa.int64())), pa.array(piece, pa.int32()),
-                     *(pa.array(x, pa.int64()) for x in (start, size, crc, turns))],
-                    names=["key", "piece", "start", "length", "ids_crc32", "turn"])
+                     pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(part_ids, pa.binary()), pa.array(turns, pa.int64())],
+                    names=["key", "piece", "start", "length", "ids", "turn"])
 
     return arrow_map(df.select(F.col(key).alias("key"), F.col(text).alias("text")), run,
-                     f"key {kind.simpleString()}, piece int, start long, length long, ids_crc32 long, turn long").withColumnRenamed("key", key)
+                     f"key {kind.simpleString()}, piece int, start long, length long, ids binary, turn long").withColumnRenamed("key", key)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -185,8 +184,10 @@ def pack(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 def pack_documents(df: DataFrame, key: str, text: str, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
                    group: int = GROUP) -> DataFrame:
-    """(key, piece, start, length, ids_crc32, sequence_id, offset): every piece's place in a sequence of at most ``capacity`` ids.
+    """(key, piece, start, length, ids, ids_crc32, sequence_id, offset): every piece's ids and their place in a sequence of at most ``capacity``.
 
+    ``ids`` are little-endian unsigned 32-bit integers; those of a sequence's
+    pieces, laid end to end by ``offset``, are the sequence.
     Null and repeated keys are documents like any others; an empty table gives no rows.
     """
     pieces = stash(token_pieces(df, key, text, tokenizer, capacity, end_id), "pieces")
@@ -203,5 +204,5 @@ def pack_documents(df: DataFrame, key: str, text: str, tokenizer: str, capacity:
     workers_import(df.sparkSession)
     dealt = pieces.withColumn("grp", F.pmod("turn", F.lit(groups)))
     return (dealt.withColumnRenamed(key, "key").groupBy("grp")
-            .applyInPandas(place, f"key {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
-            .withColumnRenamed("key", key))
+            .applyInPandas(place, f"key {kind}, piece int, start long, length long, ids binary, sequence_id long, offset long")
+            .select(F.col("key").alias(key), "piece", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import dart_minhash, graph_dedup, langid, packing, rabitq, secret_scan, sharding, suffix_pieces, token_store, url_rules
 from .common import table
@@ -42,7 +43,7 @@ def op5_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each piece's place in a sequence."""
     docs = table(spark, sf_dir, "documents")
-    return packing.pack_documents(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
 
 
 def op7_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +54,9 @@ def op7_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's pieces, and whether they decode to it."""
     docs = table(spark, sf_dir, "documents")
-    return suffix_pieces.encode_and_decode(docs, "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model"))
+    whole = suffix_pieces.encode_and_decode(docs, "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model"))
+    return whole.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+                        F.length("decoded").cast("long").alias("n_chars"), "round_trip")
 
 
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,6 +69,19 @@ def test_packed_pieces_are_whole_and_gapless(spark, docs_of):
     assert packing.pack_documents(docs_of([]), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json")).count() == 0
 
 
+def test_operators_keep_ids_and_texts(spark, docs_of):
+    want, rows = reference("byte_bpe_50k.json"), [r for r in ROWS if r[0] != 3] + [(4, "a 日本 🙂 text")]
+    got = defaultdict(list)
+    for p in sorted(packing.pack_documents(docs_of(rows), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json")).collect(), key=lambda p: p.piece):
+        assert len(p.ids) == 4 * p.length and p.ids_crc32 == zlib.crc32(p.ids)
+        got[p.doc_id] += np.frombuffer(p.ids, "<u4").tolist()
+    assert got == {k: want(t) for k, t in rows}
+    file = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=file)
+    whole = {r.doc_id: (np.frombuffer(r.ids, "<u4").tolist(), r.decoded) for r in suffix_pieces.encode_and_decode(docs_of(rows), "doc_id", "text", file).collect()}
+    assert whole == {k: (library.encode(t or ""), t or "") for k, t in rows}
+
+
 def test_swaps_save_sequences_and_never_overfill():
     r = np.random.default_rng(3)
     saved = 0
