@@ -22,21 +22,15 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     labels = stash(arcs.groupBy(F.col("u").alias("id"))
                    .agg(F.min("v").alias("m"))
                    .select("id", F.least("id", "m").alias("component")), "labels")
-    total = _total(labels)
-    while total is not None:
+    changed = not labels.isEmpty()
+    while changed:
         near = (arcs.join(labels, arcs.v == labels.id)
                 .groupBy("u").agg(F.min("component").alias("m")))
         step = stash(labels.join(near, labels.id == near.u)
-                     .select("id", F.least("component", "m").alias("component")), "labels")
+                     .select("id", F.col("component").alias("before"), F.least("component", "m").alias("component")), "labels")
         up = step.select(F.col("id").alias("root"), F.col("component").alias("above"))
-        labels = stash(step.join(up, step.component == up.root)
-                       .select("id", F.least("component", "above").alias("component")), "labels")
-        now = _total(labels)
-        if now == total:  # labels only ever fall
-            break
-        total = now
+        now = stash(step.join(up, step.component == up.root)
+                    .select("id", "before", F.least("component", "above").alias("component")), "labels")
+        changed = not now.where("component <> before").isEmpty()
+        labels = now.select("id", "component")
     return labels
-
-
-def _total(labels: DataFrame):
-    return labels.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]

@@ -201,3 +201,13 @@ def test_one_language_is_the_answer(docs_of):
     df = docs_of([(i, f"word number {i}", "en") for i in range(9)])
     out = langid.identify(df, langid.train(df, "doc_id", "text", "lang"), "doc_id", "text").collect()
     assert {r.lang_pred for r in out} == {"en"}
+
+
+def test_components_of_keys_that_are_no_numbers(spark):
+    from revlens.llm.components import connected_components
+
+    names = [f"k{(7 * i) % 40:02d}" for i in range(40)]                                  # a chain in mixed order
+    links = spark.createDataFrame([*zip(names, names[1:]), ("x1", "x2"), ("17", "9")], "a string, b string")
+    got = {r.id: r.component for r in connected_components(links).collect()}
+    assert got == {**{n: "k00" for n in names}, "x1": "x1", "x2": "x1", "17": "17", "9": "17"}
+    assert connected_components(links.limit(0)).count() == 0
