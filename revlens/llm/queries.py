@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dart_minhash, graph_dedup, langid, packing, rabitq, secret_scan, sharding, suffix_pieces, token_store, url_rules
+from . import (dart_minhash, graph_dedup, hard_negatives, langid, packing, rabitq, secret_scan, sharding, suffix_pieces, token_store, url_rules,
+               whitening, word_bpe)
 from .common import table
 
 
@@ -70,6 +71,26 @@ def op10_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_and_read(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_hilbert_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector, where every seventh has been given the next label."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
+def op12_jacobi_davidson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of each vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's ids and what they decode to, as digests."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = word_bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text", ranks)
+    return word_bpe.decode(coded, "ids", ranks).select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                                                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
     import corpus_pipeline
@@ -79,7 +100,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [op1_shard_table, op2_secret_spans, op3_dart_minhash, op4_language_family, op5_rotated_codes, op6_swap_packing,
-             op7_pruned_graph, op8_suffix_pieces, op9_url_rules, op10_token_frames, pipeline]
+             op7_pruned_graph, op8_suffix_pieces, op9_url_rules, op10_token_frames,
+             op11_hilbert_negatives, op12_jacobi_davidson, op13_distinct_words, pipeline]
     return {f.__name__: f for f in named}
 
 
@@ -118,6 +140,21 @@ FROM embeddings JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id
 """
 
 
+_OP11_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(v, lambda x: floor(256 * x)) AS v
+           FROM (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL)
+           WHERE NOT list_contains(list_transform(v, lambda x: x IS NULL OR isnan(x) OR isinf(x)), true)),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+      FROM e a JOIN e c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+      FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM s WHERE same) WHERE n <= 5),
+h AS (SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM h WHERE rank <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_shard_table": sharding.oracle_sql(), "op3_dart_minhash": _OP3_SQL, "op5_rotated_codes": _OP5_SQL,
-            "op7_pruned_graph": _OP7_SQL, "op9_url_rules": url_rules.ORACLE_SQL}
+            "op7_pruned_graph": _OP7_SQL, "op9_url_rules": url_rules.ORACLE_SQL, "op11_hilbert_negatives": _OP11_SQL}
