@@ -55,6 +55,7 @@ def main(argv: list[str] | None = None) -> None:
     v.add_argument("--threshold", type=int, default=500)
     v.add_argument("--k", type=int, default=5)
     v.add_argument("--quoting", action="store_true", help="honour double quotes")
+    v.add_argument("--multiline", action="store_true", help="with --quoting, line breaks within quotes")
     v.add_argument("--keep-existing", action="store_true",
                    help="fail instead of replacing existing output folders")
     v.add_argument("--single-file", action="store_true")
@@ -84,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
                                   threads=a.threads)
     elif a.cmd == "reviews":
         from revlens.plans.report import run_reviews_files
-        paths = run_reviews_files(spark, a.reviews, a.stop_words, a.out, quoting=a.quoting,
+        paths = run_reviews_files(spark, a.reviews, a.stop_words, a.out, quoting=a.quoting, multiline=a.multiline,
                                   threshold=a.threshold, k=a.k, single_file=a.single_file,
                                   mode="errorifexists" if a.keep_existing else "overwrite",
                                   threads=a.threads)

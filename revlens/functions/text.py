@@ -36,8 +36,12 @@ def java_trim(c: Column | str) -> Column:
 
 
 def has_visible_char(c: Column | str) -> Column:
-    """True when ``java_trim(c)`` is non-empty (null stays null)."""
-    return java_trim(c) != ""
+    """True when ``java_trim(c)`` is non-empty (null stays null).
+
+    A text whose first byte is above U+0020 needs no trim: nearly every token.
+    """
+    c = _col(c)
+    return (c >= "!") | (java_trim(c) != "")
 
 
 def java_split(c: Column | str, pattern: str, limit: int = 0) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.text import java_split, java_trim
-from revlens.operators.joins import lookup_with_fallback
+from revlens.operators.joins import ORDER, last_value, lookup_with_fallback
 
 GENRE_SEPARATOR = r"\|"
 
@@ -38,7 +38,7 @@ def item_stats(ratings: DataFrame) -> DataFrame:
 
 def with_titles(stats: DataFrame, items: DataFrame) -> DataFrame:
     """Attach ``title``; an item missing from ``items`` is titled by its id."""
-    return lookup_with_fallback(stats, items.select("item_id", "title"), "item_id", "title")
+    return lookup_with_fallback(stats, items, "item_id", "title")
 
 
 def rating_avg_by_item(ratings: DataFrame, items: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def best_titled(stats: DataFrame, items: DataFrame, min_count: int = 5) -> DataF
     """
     best = top_rated_item(stats, min_count)
     wanted = items.join(F.broadcast(best.select("item_id")), "item_id", "left_semi")
-    title = wanted.agg(F.any_value("item_id").alias("_id"), F.max("title").alias("title"))
+    title = wanted.agg(F.any_value("item_id").alias("_id"), last_value(wanted, "title").alias("title"))
     return (best.join(F.broadcast(title), F.col("item_id") == F.col("_id"), "left")
             .select("item_id", F.coalesce("title", F.col("item_id").cast("string")).alias("title"),
                     "avg_rating", "n_ratings"))
@@ -136,18 +136,24 @@ def one_row_per_user(users: DataFrame, *user_cols: str) -> DataFrame:
 
     All values of an id come from one of its rows.
 
-    A repeated user would multiply ratings in a join.  The original map keeps
-    the last line; a distributed table has no line order, so the largest row wins.
+    A repeated user would multiply ratings in a join.  The last line wins, as
+    in the original map, where the reader carried ``line_order``; the largest
+    row in a table without order.
     It shuffles by ``user_id``, the key of the join that follows.
     """
-    user_cols = user_cols or tuple(sorted(c for c in users.columns if c != "user_id"))
-    row = F.max(F.struct(*user_cols)).alias("_row")
+    user_cols = user_cols or tuple(sorted(c for c in users.columns if c not in ("user_id", ORDER)))
+    row = last_value(users, F.struct(*user_cols)).alias("_row")
     return users.groupBy("user_id").agg(row).select("user_id", *[F.col(f"_row.{c}").alias(c) for c in user_cols])
 
 
 def rate_by_users(ratings: DataFrame, users: DataFrame, *user_cols: str) -> DataFrame:
     """Inner join ratings to user attributes; ratings of unknown users drop out."""
-    return ratings.join(one_row_per_user(users, *user_cols), "user_id", "inner")
+    return rate_by_people(ratings, one_row_per_user(users, *user_cols), *user_cols)
+
+
+def rate_by_people(ratings: DataFrame, people: DataFrame, *user_cols: str) -> DataFrame:
+    """``rate_by_users`` for a table that has one row per user already."""
+    return ratings.join(people.select("user_id", *user_cols), "user_id", "inner")
 
 
 MALE_SIDE, FEMALE_SIDE = 1, 2
@@ -190,7 +196,7 @@ def gender_averages(rated: DataFrame) -> DataFrame:
 def rating_avg_by_gender(ratings: DataFrame, users: DataFrame, items: DataFrame,
                          male: str = "M", female: str = "F") -> DataFrame:
     """``item_id, title, male_avg, female_avg`` for items rated by known users."""
-    rated = rate_by_users(ratings, gender_sides(one_row_per_user(users), male, female), "gender_side")
+    rated = rate_by_people(ratings, gender_sides(one_row_per_user(users), male, female), "gender_side")
     return gender_averages_titled(rated, items)
 
 
@@ -254,7 +260,7 @@ def age_group_averages(rated: DataFrame, bounds: Sequence[float] = (0, 18, 35, 5
 def rating_avg_by_age_group(ratings: DataFrame, users: DataFrame, items: DataFrame,
                             bounds: Sequence[float] = (0, 18, 35, 50)) -> DataFrame:
     """``item_id, title, avg_<group>...`` for items rated by known users."""
-    rated = rate_by_users(ratings, age_groups(one_row_per_user(users), bounds), "age_group")
+    rated = rate_by_people(ratings, age_groups(one_row_per_user(users), bounds), "age_group")
     return age_group_averages_titled(rated, items, bounds)
 
 

@@ -173,8 +173,8 @@ def benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The text inputs as lines, rendered from whole tables: padded lines, blank
 # lines, short lines and trailing empty fields are mixed in by key.
 
-def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``value``: ``user, item, rating[, time]`` lines."""
+def rating_lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """``value``: ``user, item, rating[, time]`` lines; ``keep`` columns of lineitem beside them."""
     r = (table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
          .select("l_orderkey", "l_linenumber", "o_custkey", "l_partkey", "l_quantity"))
     k = F.col("l_orderkey") % 7
@@ -185,7 +185,7 @@ def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(k == 3, F.lit("  "))
              .when(k == 4, F.concat(user, F.lit(","), item, F.lit(",,")))
              .otherwise(F.concat_ws(", ", user, item, rating, F.col("l_linenumber").cast("string"))))
-    return r.select(line.alias("value"))
+    return r.select(line.alias("value"), *keep)
 
 
 def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +211,7 @@ def user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(line.alias("value"))
 
 
-def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def review_lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """``value``: ``rid;review;category;aspect;sentiment`` lines; a ``;`` in a text moves the later fields."""
     r = reviews(spark, sf_dir)
     k = F.col("rid") % 6
@@ -220,4 +220,4 @@ def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(k == 1, F.concat_ws(";", rid, F.lit(""), "category", "aspect", "sentiment", F.lit("more"), F.lit("")))
              .when(k == 2, F.concat_ws(";", F.concat(F.lit("x"), rid), text, "category", "aspect", "sentiment"))
              .otherwise(F.concat_ws(";", rid, text, "category", "aspect", "sentiment")))
-    return r.select(line.alias("value"))
+    return r.select(line.alias("value"), *keep)

@@ -17,6 +17,7 @@ from revlens.operators import ratings as R
 from revlens.operators import reviews as V
 from revlens.operators.joins import lookup_with_fallback
 from revlens.plans import bindings as B
+from revlens.plans import text_files
 from revlens.plans.report import item_report_lines
 from revlens.sources import parse_items, parse_ratings, parse_reviews, parse_users
 
@@ -214,7 +215,7 @@ def queries() -> dict[str, Query]:
         "items_from_lines": q_items_from_lines,
         "users_from_lines": q_users_from_lines,
         "reviews_from_lines": q_reviews_from_lines,
-    }
+    } | text_files.queries()
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -274,18 +275,19 @@ def _fmt2(x: str) -> str:
     return f"printf('%.2f', round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), 2))"
 
 
-def _item_lines_sql() -> str:
+def _item_lines_sql(ordered: bool = False) -> str:
+    order = (", 0 AS top, item_id::VARCHAR AS id", ", 1 AS top, NULL AS id") if ordered else ("", "")
     no_top = fmt.NO_TOP_ITEM_LINE % B.TOP_ITEM_MIN_COUNT
     return f"""WITH {_PER_ITEM},
   best AS (SELECT * FROM it
            WHERE n_ratings >= {B.TOP_ITEM_MIN_COUNT} AND NOT isnan(avg_rating)
            ORDER BY avg_rating DESC, CAST(item_id AS VARCHAR) ASC NULLS FIRST LIMIT 1)
-SELECT title AS key, {_fmt2('avg_rating')} || ' (TotalRatings: ' || n_ratings || ')' AS value
+SELECT title AS key, {_fmt2('avg_rating')} || ' (TotalRatings: ' || n_ratings || ')' AS value{order[0]}
 FROM it
 UNION ALL
 SELECT '{fmt.TOP_ITEM_KEY}' AS key,
        CASE WHEN best.item_id IS NULL THEN '{no_top}'
-            ELSE best.title || ' (Average: ' || {_fmt2('best.avg_rating')} || ')' END AS value
+            ELSE best.title || ' (Average: ' || {_fmt2('best.avg_rating')} || ')' END AS value{order[1]}
 FROM (SELECT 1 AS one) d LEFT JOIN best ON TRUE"""
 
 
@@ -378,6 +380,11 @@ FROM t""",
 
 
 def oracle_sql() -> dict[str, str]:
+    sql = _oracle_sql()
+    return sql | text_files.oracle_sql(sql, _item_lines_sql(ordered=True), _REVIEWS)
+
+
+def _oracle_sql() -> dict[str, str]:
     return _LINES | {
         "ratings_union": f"""
 SELECT o.o_custkey AS user_id, l.l_partkey AS item_id, l.l_quantity AS rating

@@ -27,6 +27,7 @@ from revlens.functions.text import DEFAULT_TOKEN_DELIMITERS
 from revlens.operators import ratings as R
 from revlens.operators import reviews as V
 from revlens.session import ensure_checkpoint_dir
+from revlens.sources.folders import remove_folder
 from revlens.sources.sinks import write_tsv
 
 # Output folder names.
@@ -85,22 +86,21 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
     genres = R.explode_genres(items, genre_separator)
     groups = R.age_group_names(age_bounds)
     people = R.age_groups(R.gender_sides(R.one_row_per_user(users)), age_bounds)
-    rated = R.rate_by_users(ratings, people, "gender_side", "age_group")
-    shared: dict[str, DataFrame] = {}
-
-    def sums_job() -> None:
-        shared["sums"] = materialize(R.item_sums(ratings), "item_sums")
-
-    def user_groups_job() -> None:
-        shared["groups"] = materialize(rated.groupBy("item_id").agg(
-            *R.gender_average_columns(), *R.age_group_average_columns(age_bounds)),
-            "item_user_groups")
+    rated = R.rate_by_people(ratings, people, "gender_side", "age_group")
+    with Shared(ratings.sparkSession) as shared:
+        run_concurrently(
+            lambda: shared.store("sums", R.item_sums(ratings)),
+            lambda: shared.store("groups", rated.groupBy("item_id").agg(
+                *R.gender_average_columns(), *R.age_group_average_columns(age_bounds))),
+            lambda: write_tsv(R.genre_rating_pairs(ratings, genres), paths["genre_rating_pairs"], mode),
+            threads=threads)
+        _item_outputs(shared, items, genres, groups, min_count, out, threads)
+    return paths
 
-    run_concurrently(
-        sums_job, user_groups_job,
-        lambda: write_tsv(R.genre_rating_pairs(ratings, genres), paths["genre_rating_pairs"], mode),
-        threads=threads)
 
+def _item_outputs(shared: Shared, items: DataFrame, genres: DataFrame, groups: Sequence[tuple[str, str]],
+                  min_count: int, out: Callable, threads: int) -> None:
+    """The four outputs that follow from the per-item sums and user-group averages."""
     sums = shared["sums"]
     stats = sums.select("item_id", F.try_divide("s", "n").alias("avg_rating"),
                         F.col("n").alias("n_ratings"))
@@ -121,8 +121,6 @@ def ratings_report(ratings: DataFrame, items: DataFrame, users: DataFrame, out_d
             fmt.bucket_line([g for g, _ in groups], [c for _, c in groups]).alias("value"),
             "_id"), ["_id"], ["_id"]),
         threads=threads)
-    remove_materialized(*shared.values())
-    return paths
 
 
 def run_concurrently(*jobs: Callable[[], object], threads: int = 4) -> None:
@@ -141,21 +139,25 @@ def run_concurrently(*jobs: Callable[[], object], threads: int = 4) -> None:
             future.result()
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet in the shared checkpoint folder and read it back."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+class Shared:
+    """Intermediate tables of one run: parquet in the shared checkpoint folder, removed when the run ends, however it ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def __enter__(self) -> Shared:
+        return self
 
+    def store(self, name: str, df: DataFrame) -> None:
+        self.paths[name] = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(self.paths[name])
 
-def remove_materialized(*frames: DataFrame) -> None:
-    """Deletes the folders that ``materialize`` wrote, once nothing reads them any more."""
-    for df in frames:
-        spark = df.sparkSession
-        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.paths[name])
+
+    def __exit__(self, *failure) -> None:
+        for path in self.paths.values():
+            remove_folder(self.spark, path)
 
 
 def reviews_report(reviews: DataFrame, stop_words: V.StopWords, out_dir: str,
@@ -184,34 +186,28 @@ def reviews_report(reviews: DataFrame, stop_words: V.StopWords, out_dir: str,
     top_order = ["category", F.desc("cnt"), "word"]
     ensure_checkpoint_dir(reviews.sparkSession)   # resolve once, before any thread
     words = V.clean_words(reviews, stop_words, delimiters)
-    shared: dict[str, DataFrame] = {}
-
-    def counts_job() -> None:
-        shared["counts"] = materialize(
-            V.word_counts(words, ["category", "sentiment"]), "word_counts")
-
     aspects = judgements if judgements is not None else reviews
-    run_concurrently(
-        lambda: write_tsv(words, paths["words"], mode),
-        counts_job,
-        lambda: out("count_by_category", V.comment_counts(reviews, "category"), ["category"]),
-        lambda: out("count_by_aspect", V.comment_counts(aspects, "aspect"), ["aspect"]),
-        lambda: out("most_negative_aspect",
-                    V.most_judged_aspect(reviews, "negative", "neg_count")),
-        lambda: out("most_positive_aspect",
-                    V.most_judged_aspect(reviews, "positive", "pos_count")),
-        threads=threads)
-
-    counts = shared["counts"]
-    freq = counts.groupBy("word").agg(F.sum("cnt").alias("freq"))
-    per_category = counts.groupBy("category", "word").agg(F.sum("cnt").alias("cnt"))
-    run_concurrently(
-        lambda: out("word_freq_over", freq.where(F.col("freq") > threshold), ["word"]),
-        lambda: out("top_positive_words", V.top_words(counts, k, "positive"), top_order),
-        lambda: out("top_negative_words", V.top_words(counts, k, "negative"), top_order),
-        lambda: out("top_related_words", V.top_words(per_category, k), top_order),
-        threads=threads)
-    remove_materialized(shared["counts"])
+    with Shared(reviews.sparkSession) as shared:
+        run_concurrently(
+            lambda: write_tsv(words, paths["words"], mode),
+            lambda: shared.store("counts", V.word_counts(words, ["category", "sentiment"])),
+            lambda: out("count_by_category", V.comment_counts(reviews, "category"), ["category"]),
+            lambda: out("count_by_aspect", V.comment_counts(aspects, "aspect"), ["aspect"]),
+            lambda: out("most_negative_aspect",
+                        V.most_judged_aspect(reviews, "negative", "neg_count")),
+            lambda: out("most_positive_aspect",
+                        V.most_judged_aspect(reviews, "positive", "pos_count")),
+            threads=threads)
+
+        counts = shared["counts"]
+        freq = counts.groupBy("word").agg(F.sum("cnt").alias("freq"))
+        per_category = counts.groupBy("category", "word").agg(F.sum("cnt").alias("cnt"))
+        run_concurrently(
+            lambda: out("word_freq_over", freq.where(F.col("freq") > threshold), ["word"]),
+            lambda: out("top_positive_words", V.top_words(counts, k, "positive"), top_order),
+            lambda: out("top_negative_words", V.top_words(counts, k, "negative"), top_order),
+            lambda: out("top_related_words", V.top_words(per_category, k), top_order),
+            threads=threads)
     return paths
 
 
@@ -219,13 +215,13 @@ def run_ratings_files(spark: SparkSession, rating_paths: Sequence[str], items_pa
                       users_path: str, out_dir: str, **kw) -> dict[str, str]:
     """The rating lab on its original text inputs."""
     from revlens.sources.text_tables import read_items, read_ratings, read_users
-    return ratings_report(read_ratings(spark, list(rating_paths)), read_items(spark, items_path),
-                          read_users(spark, users_path), out_dir, **kw)
+    return ratings_report(read_ratings(spark, list(rating_paths)), read_items(spark, items_path, order=True),
+                          read_users(spark, users_path, order=True), out_dir, **kw)
 
 
 def run_reviews_files(spark: SparkSession, reviews_path: str, stop_words_path: str,
-                      out_dir: str, quoting: bool = False, **kw) -> dict[str, str]:
+                      out_dir: str, quoting: bool = False, multiline: bool = False, **kw) -> dict[str, str]:
     """The review lab on its original text inputs."""
     from revlens.sources.text_tables import read_reviews, read_word_list
-    return reviews_report(read_reviews(spark, reviews_path, quoting),
+    return reviews_report(read_reviews(spark, reviews_path, quoting, multiline=multiline),
                           read_word_list(spark, stop_words_path), out_dir, **kw)
