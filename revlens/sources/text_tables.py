@@ -222,7 +222,7 @@ def parse_quoted_reviews(records: DataFrame, sep: str = ";") -> DataFrame:
     field, n = _quoted_field(_one_char(sep)), len(REVIEW_SCHEMA)
     first = F.regexp_extract("value", f"^{field}(?:{sep}{field}){{0,{n - 1}}}+", 0)
     cut = (records.where(F.btrim(F.col("value"), F.lit(" \t\r")) != "")
-           .select(F.explode(F.array(F.regexp_extract_all(first, F.lit(f"(?:^|{sep})({field})"), F.lit(1)))).alias("f")))
+           .select(F.explode(F.array(F.regexp_extract_all(F.concat(F.lit(sep), first), F.lit(f"{sep}({field})"), F.lit(1)))).alias("f")))
 
     def text(raw: Column) -> Column:
         inner = F.regexp_extract(raw, '^"((?:[^"]++|"")*+)', 1)
