@@ -212,7 +212,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", *, w
     none of 20 bands of 4 with a probability of 3e-5.  One row comes out for
     each row in.  A null key has a null class.  A null text, or one without any
     word, is a class of its own; rows with the same key are one document, in
-    one class.  An empty table gives none.
+    one class, which links by each of its texts.  An empty table gives none.
     """
     docs = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
     known = docs.where("id is not null")
@@ -227,8 +227,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", *, w
     pairs = stash(members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
     sets = _shingles_of(known, ends, words, by_count)
-    sets = stash(sets.groupBy("id").agg(F.min_by("hashes", "hashes").alias("hashes"), F.min_by("counts", "hashes").alias("counts")), "sets")
-    links = stash(_similar(pairs, sets, least), "links")
+    sets = stash(sets.distinct(), "sets")  # a document with several texts has several sets, and links by any of them
+    links = stash(_similar(pairs, sets, least).distinct(), "links")
     rest = stash(_within_buckets(members, links, sets, least), "links")
     roots = connected_components(copies.unionByName(links).unionByName(rest))
     return (docs.select("id").join(roots, "id", "left")

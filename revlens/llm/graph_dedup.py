@@ -23,6 +23,7 @@ into blocks, and every pair of blocks is a shard of its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, stash, workers_import
 from .components import connected_components
-from .vectors import k_means, matrix, sample, usable, usual_length
+from .vectors import k_means, lengths, matrix, sample, usable
 
 LEAST, MARGIN = 0.93, 0.08
 OVERLAP, BLOCK, PER_CELL, MOST_CELLS, FIT_ROWS = 2, 1024, 4000, 256, 8192
@@ -218,17 +219,13 @@ def _strangers(points: DataFrame, least: float) -> DataFrame:
     return met.groupBy("label", "i", "j").applyInPandas(run, f"id {kind}, links long, near {kind}")
 
 
-def _points(df: DataFrame) -> DataFrame | None:
-    """(id, label, copies, u, cells) of each distinct usable vector: the unit vector and its nearest centroids."""
-    rows = df.where(usable("v") & F.col("label").isNotNull() & F.col("id").isNotNull())
-    d = usual_length(rows, "v")
-    if d is None:
-        return None
+def _points(rows: DataFrame, d: int) -> DataFrame:
+    """(id, label, copies, u, cells) of each distinct vector of ``d`` components: the unit vector and its nearest centroids."""
     same = stash(rows.where(F.size("v") == d).groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "vectors")
     n = same.count()
     x = sample(same, "id", "v", FIT_ROWS, n)
     cells = min(MOST_CELLS, max(1, -(-n // PER_CELL)))
-    centroids = df.sparkSession.sparkContext.broadcast(k_means(x / np.linalg.norm(x, axis=1)[:, None], cells))
+    centroids = rows.sparkSession.sparkContext.broadcast(k_means(x / np.linalg.norm(x, axis=1)[:, None], cells))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = centroids.value
@@ -253,18 +250,33 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     """(key, n_links, component_id, kept) for every row.
 
     Rows link when their labels are equal and not null and the cosine found is
-    at least ``least``; a component is named by its smallest key.  Null labels,
-    unusable vectors and vectors of an unusual length link with nothing.  Equal
+    at least ``least``; a component is named by its smallest key.  Null labels
+    and unusable vectors link with nothing, and vectors of different lengths
+    never link with each other: each length has a graph of its own.  Equal
     vectors of a label link with each other.  A null key has a null component
     and isn't kept; an empty table gives no rows.
     """
-    spark = df.sparkSession
-    workers_import(spark)
+    workers_import(df.sparkSession)
     rows = df.select(F.col(key).alias("id"), F.col(vector).alias("v"), F.col(label).alias("label"))
-    points = _points(rows)
-    if points is None:
+    ok = usable("v") & F.col("label").isNotNull()
+    named = rows.where(ok & F.col("id").isNotNull())
+    found = [_nodes(named, d, least) for d in lengths(named, "v")]
+    if not found:
         return rows.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
                            F.coalesce(F.col("id") == F.col("id"), F.lit(False)).alias("kept"))
+    # a key with several vectors is one node: the most links of one of them, the smallest component
+    nodes = reduce(DataFrame.unionByName, found).groupBy("rep").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
+    classes = rows.where(ok).groupBy("label", "v").agg(F.min("id").alias("rep"))
+    mine = rows.where(ok).join(classes, ["label", "v"]).join(nodes, "rep", "left").select("id", "n_links", "component_id")
+    every = mine.unionByName(rows.where(~ok).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")))
+    return every.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+                        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
+                        F.coalesce(F.col("id") == F.coalesce("component_id", "id"), F.lit(False)).alias("kept"))
+
+
+def _nodes(rows: DataFrame, d: int, least: float) -> DataFrame:
+    """(rep, n_links, component_id) of each distinct vector of ``d`` components, named by its smallest id."""
+    points = _points(rows, d)
     kind = points.schema["id"].dataType.simpleString()
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -306,15 +318,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
         found = found.unionByName(stash(_strangers(points, least), "strangers"))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     roots = connected_components(found.where("id <> near").select(F.col("id").alias("a"), F.col("near").alias("b")))
-    nodes = (points.select("id", "copies").join(counts, "id").join(roots, "id", "left")
+    return (points.select("id", "copies").join(counts, "id").join(roots, "id", "left")
              .select(F.col("id").alias("rep"), (F.col("links") + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
-    ok = usable("v") & F.col("label").isNotNull()
-    classes = rows.where(ok).groupBy("label", "v").agg(F.min("id").alias("rep"))
-    mine = rows.where(ok).join(classes, ["label", "v"]).join(nodes, "rep", "left").select("id", "n_links", "component_id")
-    every = mine.unionByName(rows.where(~ok).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")))
-    return every.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-                        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
-                        F.coalesce(F.col("id") == F.coalesce("component_id", "id"), F.lit(False)).alias("kept"))
 
 
 def audit_recall(df: DataFrame, result: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, stash, workers_import
-from .vectors import k_means, matrix, sample, usable, usual_length
+from .vectors import k_means, lengths, matrix, sample, usable
 
 K, EVERY = 20, 20
 CELLS, FIT_ROWS = 16, 8192
@@ -64,18 +65,19 @@ def fit(x: np.ndarray, cells: int = CELLS, seed: int = 11) -> Codes:
     return Codes(k_means(x, cells), rotation * np.sign(np.diag(r)))
 
 
-def build_index(df: DataFrame, key: str, vector: str, cells: int = CELLS, fit_rows: int = FIT_ROWS) -> tuple[Codes, DataFrame] | None:
-    """The fitted codes and (id, x, cell, bits, length, align) of every usable row; None if there is none.
+def usable_rows(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """(id, v): the rows that take part."""
+    return df.select(F.col(key).alias("id"), F.col(vector).alias("v")).where(usable("v") & F.col("id").isNotNull())
+
+
+def build_index(rows: DataFrame, d: int, cells: int = CELLS, fit_rows: int = FIT_ROWS) -> tuple[Codes, DataFrame]:
+    """The fitted codes and (id, x, cell, bits, length, align) of every row (id, v) with ``d`` components.
 
     Fits on about ``fit_rows`` rows; indexes all.
     """
-    rows = df.select(F.col(key).alias("id"), F.col(vector).alias("v")).where(usable("v") & F.col("id").isNotNull())
-    d = usual_length(rows, "v")
-    if d is None:
-        return None
     rows = rows.where(F.size("v") == d)
     codes = fit(sample(rows, "id", "v", fit_rows, rows.count()), cells)
-    shipped = df.sparkSession.sparkContext.broadcast(codes)
+    shipped = rows.sparkSession.sparkContext.broadcast(codes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,13 +121,21 @@ def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int
     every block of every cell in a task of its own; a task gives at most k rows
     a query.  Null keys and unusable vectors take no part; repeated keys are
     one vector's own rows and never neighbours of each other.  Ties go to the
-    smaller key.  Without usable rows the result is empty.
+    smaller key.  Each length of vectors has an index of its own, since only
+    vectors of one length have an inner product.  Without usable rows the
+    result is empty.
     """
-    spark = df.sparkSession
-    built = build_index(df, key, vector, cells)
-    if built is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    codes, index = built
+    rows = usable_rows(df, key, vector)
+    found = [_search(rows, d, k, every, cells) for d in lengths(rows, "v")]
+    if not found:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _search(rows: DataFrame, d: int, k: int, every: int, cells: int) -> DataFrame:
+    """``search`` among the rows with ``d`` components."""
+    spark = rows.sparkSession
+    codes, index = build_index(rows, d, cells)
     sizes = {r["cell"]: r["count"] for r in index.groupBy("cell").count().collect()}  # one row for each cell
     asked = index.where(F.col("id") % every == 0)
     parts = max(1, -(-asked.count() // QUERY_BLOCK))

@@ -1,9 +1,10 @@
 """Whole-text encoding with the ``tokenizers`` library, one call for each distinct chunk.
 
 Both byte-level and word-end BPE split a text before any merge, never across
-the places used here: a space or newline between two visible characters.  The
-text is cut there, chunks seen before come from a bounded cache, and only new
-ones go through the library.
+the places used here: a space or newline between two visible characters.
+Texts are cut there and their chunks numbered by Arrow, batch by batch; chunks
+seen before come from a bounded cache, only new ones go through the library,
+and the ids of all texts are then laid out in one step.
 """
 
 from __future__ import annotations
@@ -12,70 +13,160 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: What needs the slower cut: white space next to white space, or of another kind; and the mark of the faster one.
-_PAIRS = ("  ", " \n", "\n ", "\n\n", "\x00", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
+from .runs import runs
+
+#: What needs the slower cut: white space next to white space, or of another kind.
+_PAIRS = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
 _WIDE = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
-CACHE_ENTRIES = 200_000
+#: The mark between chunks; a text that holds it is not cut.
+_MARK = "\x00"
+#: Bytes of chunks and ids that the cache may hold, some tens of bytes a chunk counted in.
+CACHE_BYTES = 192 << 20
+_ENTRY = 150
 
 
 class CachedEncoder:
-    """Encodes texts to ids as little-endian unsigned 32-bit integers, without special tokens."""
+    """Encodes texts to ids as ``Tokenizer.encode(text, add_special_tokens=False)`` does.
+
+    The strings of the file's added tokens are those tokens wherever they stand
+    in a text, as in the library; with ``added_as_text`` they are ordinary text.
+    """
 
-    def __init__(self, file: str):
+    def __init__(self, file: str, added_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.step = self.tokenizer.encode("a\nb", add_special_tokens=False).word_ids[-1]  # 2 if a newline has a token
-        self.now: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
+        self.tokenizer.encode_special_tokens = added_as_text
+        self.added = [] if added_as_text else [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.old: tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray] = ({}, *np.zeros((3, 0), np.int64))
+        self._reset()
+
+    def _reset(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.first, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.used = self.end = self.held = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._chunks(t) for t in texts]
-        if len(self.now) > CACHE_ENTRIES:  # what is used again moves on from the old generation
-            self.now, self.old = {"": b""}, self.now
-        now, old = self.now, self.old
-        missing = set().union(*cut).difference(now) if cut else set()
-        new = []
-        for c in missing:
-            got = old.get(c)
-            if got is not None:
-                now[c] = got
-            else:
-                new.append(c)
-        # a final full stop or comma after letters is a chunk of its own to the tokenizers
-        ended = {c for c in new if c[-1] in ".," and c[:-1].removeprefix(" ").lower().isalpha()}
-        bare = {x for c in new for x in ((c[:-1], c[-1]) if c in ended else (c,))}
-        self._fill([c for c in bare if c not in now])
-        for c in ended:
-            now[c] = now[c[:-1]] + now[c[-1]]
-        return [b"".join(map(now.__getitem__, c)) for c in cut]
+        """Each text's ids as little-endian unsigned 32-bit integers."""
+        ids, ends = self.encode_flat(texts)
+        data, ends = ids.astype("<u4").tobytes(), (4 * ends).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's end."""
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        lists = pc.split_pattern(pa.array([self._marked(t) for t in texts], pa.string()), _MARK)
+        ends = lists.offsets.to_numpy()[1:].astype(np.int64)
+        ends, start = ends - int(lists.offsets[0].as_py()), int(lists.offsets[0].as_py())
+        coded = lists.values.slice(start, int(ends[-1])).dictionary_encode()
+        whole = {i: t for i, t in enumerate(texts) if self._uncut(t)}
+        at = self._numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        if whole:  # one chunk each, encoded by itself
+            own = {i: self._add(e.ids) for (i, _), e in zip(whole.items(), self.tokenizer.encode_batch(list(whole.values()), add_special_tokens=False))}
+            at = at.copy()
+            first = np.concatenate([[0], ends[:-1]])
+            for i, n in own.items():
+                at[first[i]] = n
+        size = self.size[at]
+        upto = np.cumsum(size)
+        return self.ids[runs(self.first[at], size)], upto[ends - 1]
+
+    def _uncut(self, text: str) -> bool:
+        if _MARK in text:
+            return True
+        if not self.added or "<" not in text and all("<" in t for t in self.added):
+            return False
+        text = text.lower()
+        return any(t in text for t in self.added)
+
+    def _marked(self, text: str) -> str:
+        """The text with a mark at each cut; '' for one that isn't cut."""
+        if self._uncut(text):
+            return ""
+        if not any(map(text.__contains__, _PAIRS)) and (text.isascii() or _WIDE.search(text) is None):
+            return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ")
+        return _MARK.join(_CUT.split(text))
+
+    def _numbers(self, chunks: list[str]) -> np.ndarray:
+        """The cache's numbers of distinct chunks; new ones are encoded."""
+        if self.held > CACHE_BYTES // 2:  # what is used again moves on from the old half; numbers of earlier calls aren't used again
+            self.old = (self.number, self.ids, self.first, self.size)
+            self._reset()
+        if "" not in self.number:
+            self._put("", [])
+        number, before = self.number, self.old[0]
+        unknown = [c for c in chunks if c not in number]
+        known = [c for c in unknown if c in before]
+        self._copy(known, np.array([[before[c]] for c in known], dtype=np.int64), *self.old[1:])
+        new = [c for c in unknown if c not in before] if known else unknown
+        if new:
+            # a final full stop or comma after letters is a chunk of its own to the tokenizers
+            ended = [c for c in new if c[-1] in ".," and c[:-1].removeprefix(" ").lower().isalpha()]
+            bare = set(new).difference(ended).union([c[:-1] for c in ended], [c[-1] for c in ended])
+            self._fill([c for c in bare if c not in number])
+            self._copy(ended, np.array([(number[c[:-1]], number[c[-1]]) for c in ended], dtype=np.int64), self.ids, self.first, self.size)
+        return np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
+
+    def _copy(self, chunks: list[str], of: np.ndarray, ids: np.ndarray, first: np.ndarray, size: np.ndarray) -> None:
+        """Gives each chunk the ids of a row of numbers, one after the other."""
+        if chunks:
+            sizes = size[of]
+            total = sizes.sum(axis=1)
+            flat = ids[runs(first[of].reshape(-1), sizes.reshape(-1))]
+            self._name(chunks, self._add_all(flat, np.cumsum(total) - total, total))
+
+    def _name(self, chunks: list[str], n: int) -> None:
+        self.number.update(zip(chunks, range(n, n + len(chunks))))
+        self.held += _ENTRY * len(chunks) + 2 * sum(map(len, chunks))
+
+    def _put(self, chunk: str, ids) -> None:
+        self.number[chunk] = self._add(ids)
+        self.held += _ENTRY + 2 * len(chunk)
+
+    def _add(self, ids) -> int:
+        return self._add_all(ids, [0], [len(ids)])
+
+    def _add_all(self, ids, first, size) -> int:
+        """Stores ids and the runs of them that chunks have; the first chunk's number."""
+        n, end = self.used, self.end
+        self.used, self.end = n + len(first), end + len(ids)
+        while self.used > len(self.first):
+            self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.size))
+        while self.end > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[end:self.end] = ids
+        self.first[n:self.used] = np.asarray(first) + end
+        self.size[n:self.used] = size
+        self.held += 16 * len(first) + 4 * len(ids)
+        return n
 
     def _fill(self, chunks: list[str]) -> None:
-        """Encodes new chunks; those of letters alone are one word to the tokenizers, so many go into one call."""
+        """Encodes new chunks.
+
+        Many go into one call, with a cut between any two of them, and get
+        those ids back that stand for their characters; chunks with white space
+        at an end go by themselves.
+        """
         spaced, bare, rest = [], [], []
         for c in chunks:
-            (rest if not c.removeprefix(" ").lower().isalpha() else spaced if c[0] == " " else bare).append(c)
+            tight = c.removeprefix(" ")
+            (rest if not tight or tight != tight.strip() else bare if tight is c or tight == c else spaced).append(c)
         for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.now[c] = np.array(e.ids, dtype="<u4").tobytes()
-        for words, between, step in ((spaced, "", 1), (bare, "\n", self.step)):
+            self._put(c, e.ids)
+        for words, between in ((spaced, ""), (bare, "\n")):
             groups = [words[i:i + 128] for i in range(0, len(words), 128)]
             for group, e in zip(groups, self.tokenizer.encode_batch([between.join(g) for g in groups], add_special_tokens=False)):
-                ids = np.array(e.ids, dtype="<u4")
-                word = np.array(e.word_ids)
-                first = (4 * np.searchsorted(word, np.arange(0, step * len(group), step))).tolist()
-                end = (4 * np.searchsorted(word, np.arange(0, step * len(group), step), side="right")).tolist()
-                data = ids.tobytes()
-                self.now.update(zip(group, [data[a:b] for a, b in zip(first, end)]))
-
-    @staticmethod
-    def _chunks(text: str) -> list[str]:
-        if not any(map(text.__contains__, _PAIRS)) and (text.isascii() or _WIDE.search(text) is None):
-            return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
-        return _CUT.split(text)
+                start = np.array([o[0] for o in e.offsets], dtype=np.int64)
+                length = np.fromiter(map(len, group), np.int64, len(group))
+                begin = np.cumsum(length + len(between)) - length - len(between)
+                first = np.searchsorted(start, begin)
+                self._name(group, self._add_all(e.ids, first, np.searchsorted(start, begin + length) - first))
 
 
 _ENCODERS: dict[str, CachedEncoder] = {}

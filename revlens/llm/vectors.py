@@ -15,10 +15,9 @@ def usable(vector: str) -> Column:
     return F.coalesce(v.isNotNull() & ~odd & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def usual_length(df: DataFrame, vector: str) -> int | None:
-    """The most common number of components; vectors of another length can't be compared and take no part."""
-    row = df.groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return row.d if row else None
+def lengths(df: DataFrame, vector: str) -> list[int]:
+    """The numbers of components that occur; vectors of different lengths have no inner product and never meet."""
+    return sorted(r.d for r in df.select(F.size(vector).alias("d")).distinct().collect())  # one row for each length
 
 
 def sample(df: DataFrame, key: str, vector: str, rows: int, total: int) -> np.ndarray:

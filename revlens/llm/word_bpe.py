@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import arrow_map, shared_path, text_slices, workers_import
+from .runs import runs
 
 #: Characters of a slice; a longer text is a slice of its own.  Rows encoded, and tokens laid out, at a time.
 SLICE_CHARS = 32_000_000
@@ -75,12 +76,6 @@ def ranks_of(file: str) -> Ranks:
     return _RANKS[file]
 
 
-def runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The indices of consecutive runs that start at ``first`` and hold ``size`` items."""
-    ends = np.cumsum(size)
-    return np.repeat(first - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
-
-
 def pack_order(order: np.ndarray) -> bytes:
     """Positions byte plane by byte plane: words are numbered by falling count, so the upper planes are nearly empty."""
     return zstandard.ZstdCompressor(level=3).compress(order.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())

@@ -26,7 +26,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_there_is_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries() if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries() if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in Q.queries() and set(Q.oracle_sql()) <= set(Q.queries())
 
 

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from revlens.llm import packing, suffix_pieces, token_store
 from revlens.llm.token_cache import CachedEncoder
 
-PARTS = ["a", "Bc", "the", " the", "é", "'s", " ", "  ", "\n", "\n\n", "\t", "\x1c", "　", "1", "23", ".", ",", "!", "<|endoftext|>", "ß", "İ", "́",
+PARTS = ["a", "Bc", "the", " the", "é", "'s", " ", "  ", "\n", "\n\n", "\t", "\x1c", "　", "1", "23", ".", ",", "!", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<", "ß", "İ", "́",
          "\x00", "Σ", "日本", "🙂", "▁", "ing", "----", "<0x41>"]
 
 
@@ -25,7 +25,6 @@ def texts(n, seed=2):
 
 def reference(file):
     t = Tokenizer.from_file(public_tokenizers.path(file))
-    t.encode_special_tokens = True
     return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, 2]
 
 
