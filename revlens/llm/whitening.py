@@ -164,7 +164,7 @@ def corrections(product: Callable[[np.ndarray], np.ndarray], value: np.ndarray,
     return clear(t)
 
 
-def leading_pairs(product: Callable[[np.ndarray], np.ndarray], d: int, k: int, trace: float, guard: int = GUARD, inner: int = INNER,
+def leading_pairs(product: Callable[[np.ndarray], np.ndarray], d: int, k: int, guard: int = GUARD, inner: int = INNER,
                   widest: int = WIDEST, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(eigenvalues, falling; unit eigenvectors as columns) of the ``k`` largest pairs of the symmetric map ``product``.
 
@@ -254,7 +254,7 @@ def fit(rows: DataFrame, vector: str, d: int, components: int = COMPONENTS) -> W
     if not trace > 0:  # one distinct vector: no variance in any direction
         k = min(components, d)
         return Whitening(n, sums, np.zeros(k), np.eye(d)[:, :k], 0.0, 0.0)
-    values, vectors = leading_pairs(products.covariance_times, d, components, trace)
+    values, vectors = leading_pairs(products.covariance_times, d, components)
     values = np.maximum(values, 0)
     vectors = vectors * np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])])
     made = Whitening(n, sums, values, vectors, trace, 0.0)

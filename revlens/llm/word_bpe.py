@@ -247,8 +247,9 @@ def decode(df: DataFrame, ids: str, ranks: str) -> DataFrame:
                     n += len(column[last] or b"")
                     last += 1
                 part = column[first:last]
-                found = tokens.take(pa.array(np.frombuffer(b"".join(x or b"" for x in part), "<u4")))
-                if found.null_count:
+                numbers = np.frombuffer(b"".join(x or b"" for x in part), "<u4")
+                found = tokens.take(pa.array(numbers)) if numbers.max(initial=0) < len(tokens) else None
+                if found is None or found.null_count:
                     raise ValueError("an id has no token")
                 ends = np.cumsum([0, *(len(x or b"") // 4 for x in part)])
                 upto = np.frombuffer(found.buffers()[1], np.int32, len(found) + 1)[ends] if len(found) else np.zeros(len(ends), np.int32)
