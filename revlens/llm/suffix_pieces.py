@@ -9,12 +9,17 @@ segment: for a BPE model the best-scored edge that joins two neighbouring
 symbols goes first, leftmost among equals; for a unigram model edges are
 relaxed from left to right towards the best total score.  Bytes stand in for
 characters without a piece.
+
+A long segment is indexed in windows that overlap by the longest piece, and cut
+wherever no occurrence of a piece crosses: no join can cross there either.
+Parts that stay long are relaxed over flat arrays.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,6 +35,10 @@ _SEGMENT = re.compile("▁*[^▁]+|▁+")
 CACHE_SEGMENTS = 200_000
 #: Segments of at most so many characters are relaxed many at a time.
 SHORT = 48
+#: Segments beyond so many characters aren't kept for later texts.
+KEPT = 1000
+#: Bytes that one suffix array covers.
+WINDOW = 1 << 18
 
 
 @dataclass
@@ -75,19 +84,44 @@ class Pieces:
         data = self._bytes(segments)
         raw = b"\x00".join([*data, b""])
         padded = np.frombuffer(raw + b"\x00" * self.width, dtype=np.uint8)
-        suffixes = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, self.width)[:len(raw)]).view(f"S{self.width}").reshape(-1)
-        array = np.argsort(suffixes, kind="stable")
-        ordered = suffixes[array]
+        start, size, piece = self._occurrences(padded, len(raw))
+        at = np.cumsum([0, *(len(d) + 1 for d in data)])
+        return start, start + size, piece, at
+
+    def _occurrences(self, padded: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, size, piece) of every piece that starts in the first ``n`` bytes, by position and size; ``width`` more bytes follow them."""
+        windows = np.lib.stride_tricks.sliding_window_view(padded, self.width)[:n]
+        suffixes = np.ascontiguousarray(windows).view(f"S{self.width}").reshape(-1)
+        places = np.argsort(suffixes, kind="stable")
+        ordered = suffixes[places]
         first = np.searchsorted(ordered, self.low, side="left")
         last = np.searchsorted(ordered, self.high, side="right")
         count = last - first
         piece = np.repeat(np.arange(len(count)), count)
         within = np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count)
-        start = array[np.repeat(first, count) + within]
+        start = places[np.repeat(first, count) + within]
         by_place = np.lexsort((self.sizes[piece], start))
         start, piece = start[by_place], piece[by_place]
-        at = np.cumsum([0, *(len(d) + 1 for d in data)])
-        return start, start + self.sizes[piece], self.rank[piece], at
+        return start, self.sizes[piece], self.rank[piece]
+
+    def _windows(self, raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``_occurrences`` over ``raw``, one window of ``WINDOW`` starts after another."""
+        for w in range(0, len(raw), WINDOW):
+            n = min(WINDOW, len(raw) - w)
+            part = raw[w:w + n + self.width]
+            start, size, piece = self._occurrences(np.pad(part, (0, n + self.width - len(part))), n)
+            yield start + w, size, piece
+
+    def _cuts(self, segment: str) -> array:
+        """Where ``segment`` can be cut: the characters that no occurrence of a piece crosses, and the end."""
+        raw = np.frombuffer(self._bytes([segment])[0], dtype=np.uint8)
+        change = np.zeros(len(raw) + 1, dtype=np.int32)
+        for start, size, _ in self._windows(raw):
+            np.add.at(change, start + 1, 1)
+            np.add.at(change, start + size, -1)
+        crossed = np.cumsum(change, out=change)[:-1] > 0
+        free = np.flatnonzero(~crossed[(raw & 0xC0) != 0x80])
+        return array("q", np.append(free, len(segment)).astype(np.int64).tobytes())
 
     @staticmethod
     def _bytes(segments: list[str]) -> list[bytes]:
@@ -169,6 +203,84 @@ class Pieces:
                 out.append(self.ids[piece])
         return out
 
+    def _relax_long(self, segment: str) -> bytes:
+        """``_relax_bpe`` over flat arrays, for segments of any length.
+
+        The pairs of neighbouring characters are sorted once; a heap holds only
+        pairs that joins have made.  A pair is its order, start and size in one number.
+        """
+        data = self._bytes([segment])[0]
+        raw = np.frombuffer(data, dtype=np.uint8)
+        n = len(raw)
+        places = np.flatnonzero((raw & 0xC0) != 0x80)
+        ends = np.append(places[1:], n)
+        count, sizes, pieces_, pairs = np.zeros(n + 1, dtype=np.int32), array("H"), array("i"), []
+        for start, size, piece in self._windows(raw):
+            np.add.at(count, start + 1, 1)
+            sizes.frombytes(size.astype(np.uint16).tobytes())
+            pieces_.frombytes(piece.astype(np.int32).tobytes())
+            pairs.append(self._pair_numbers(start, size, piece, places, ends))
+        ready = np.concatenate(pairs)
+        ready.sort()
+        first = array("i", np.cumsum(count, out=count).tobytes())
+        after, before = np.full(n, -1, dtype=np.int32), np.full(n + 1, -1, dtype=np.int32)
+        after[places], before[ends] = ends, places
+        after, before = array("i", after.tobytes()), array("i", before.tobytes())
+        del count, pairs, places, ends
+
+        def known(a, b):
+            for i in range(first[a], first[a + 1]):
+                if sizes[i] == b - a:
+                    return pieces_[i]
+            return -1
+
+        made: list[int] = []
+        order = self.order
+
+        def offer(a, m):
+            if m < n:
+                p = known(a, after[m])
+                if p >= 0:
+                    heapq.heappush(made, int(order[p]) << 42 | a << 10 | after[m] - a)
+
+        at = 0
+        while made or at < len(ready):
+            if made and (at == len(ready) or made[0] < ready[at]):
+                number = heapq.heappop(made)
+            else:
+                number = int(ready[at])
+                at += 1
+            a = number >> 10 & 0xFFFFFFFF
+            b = a + (number & 0x3FF)
+            m = after[a]
+            if m < 0 or m >= n or after[m] != b:
+                continue
+            after[a], before[b] = b, a
+            after[m] = -1
+            if a:
+                offer(before[a], a)
+            offer(a, b)
+        out = array("I")
+        a = 0
+        while a < n:
+            b = after[a]
+            p = known(a, b)
+            if p >= 0:
+                out.append(self.ids[p])
+            else:
+                out.extend(self.bytes_[0 if x == 0xFE else x] for x in data[a:b])
+            a = b
+        return np.array(out, dtype="<u4").tobytes()
+
+    def _pair_numbers(self, start, size, piece, places, ends) -> np.ndarray:
+        """The numbers of those occurrences that are two neighbouring characters."""
+        i = np.searchsorted(places, start)
+        i[i == len(places)] = 0
+        two = (places[i] == start) & (i + 1 < len(places))
+        start, size, piece, i = start[two], size[two], piece[two], i[two]
+        two = ends[i + 1] == start + size
+        return self.order[piece[two]] << 42 | start[two] << 10 | size[two]
+
     def _relax_bpe(self, segment: str, edges: list[tuple[int, int, int]]) -> list[int]:
         places = self._places(segment)
         known = {(a, b): p for a, b, p in edges}
@@ -227,23 +339,55 @@ class Pieces:
                 cache[s] = self._old[s]
             else:
                 new.append(s)
-        if new:
-            long = [s for s in new if len(s) > SHORT or not self.bpe]
-            for s, ids in zip(long, self.encode_segments(long)):
-                cache[s] = np.array(ids, dtype="<u4").tobytes()
-            short = [s for s in new if len(s) <= SHORT] if self.bpe else []
-            for i in range(0, len(short), 40_000):
-                cache.update(zip(short[i:i + 40_000], self._relax_short(short[i:i + 40_000])))
-        return [b"".join(map(cache.__getitem__, c)) for c in cut]
+        long = {x: self._encode_long(x) for x in new if len(x) > KEPT}
+        cache.update(self._encode_new([x for x in new if x not in long]))
+        return [b"".join(map((cache | long if long else cache).__getitem__, c)) for c in cut]
+
+    def _encode_long(self, segment: str) -> bytes:
+        """The ids of a long segment, part by part."""
+        cuts = self._cuts(segment)
+        known = self._encode_new(list(dict.fromkeys(segment[a:b] for a, b in zip(cuts, cuts[1:]))))
+        return b"".join(known[segment[a:b]] for a, b in zip(cuts, cuts[1:]))
+
+    def _encode_new(self, segments: list[str]) -> dict[str, bytes]:
+        """The ids of each of these distinct segments; one suffix array covers at most some ``WINDOW`` bytes of them."""
+        out: dict[str, bytes] = {}
+
+        def plain(part):
+            return [np.array(i, dtype="<u4").tobytes() for i in self.encode_segments(part)]
+
+        short = [x for x in segments if len(x) <= SHORT] if self.bpe else []
+        some = [x for x in segments if not self.bpe or SHORT < len(x) <= KEPT]
+        for encode, mine, most in ((self._relax_short, short, WINDOW), (plain, some, WINDOW // 2)):
+            for part in _batches(mine, most):
+                out.update(zip(part, encode(part)))
+        if self.bpe:
+            out.update((x, self._relax_long(x)) for x in segments if len(x) > KEPT)
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids; runs of byte pieces are read as UTF-8, broken ones as U+FFFD."""
         if not hasattr(self, "_raw"):
             self._raw = [bytes([self.byte_of[i]]) if i in self.byte_of else p.replace(MARK, " ").encode() for i, p in enumerate(self.all_pieces)]
-        text = b"".join(map(self._raw.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        slices = (ids[i:i + WINDOW].tolist() for i in range(0, len(ids), WINDOW))
+        text = b"".join(b"".join(map(self._raw.__getitem__, x)) for x in slices).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
+def _batches(segments: list[str], most: int) -> Iterator[list[str]]:
+    """Consecutive batches of at most ``most`` bytes, or of one longer segment."""
+    size, part = 0, []
+    for x in segments:
+        n = len(x) if x.isascii() else 3 * len(x)
+        if part and size + n > most:
+            yield part
+            size, part = 0, []
+        part.append(x)
+        size += n + 1
+    if part:
+        yield part
+
+
 _MODELS: dict[str, Pieces] = {}
 
 
@@ -259,7 +403,10 @@ def encode_and_decode(df: DataFrame, key: str, text: str, file: str) -> DataFram
 
     ``ids`` are little-endian unsigned 32-bit integers, ``decoded`` is the text
     that they decode to, and ``round_trip`` says that it is the
-    text, where a word mark in a text reads as a space.  A null text reads as ''.
+    text, where a word mark in a text reads as a space.  A null text reads as ''
+    and has no ids; a text of any length is encoded whole, its memory in
+    proportion to it.  Each row, with a null or repeated key too, gives one row;
+    an empty table gives none.
     """
     kind = df.schema[key].dataType.simpleString()
 

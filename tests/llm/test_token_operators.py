@@ -1,7 +1,9 @@
 """Packing, SentencePiece and token files against the libraries and exact round trips."""
 
+import base64
 import io
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -108,6 +110,29 @@ def test_suffix_array_encoding_equals_the_library(docs_of):
     assert suffix_pieces.encode_and_decode(docs_of([]), "doc_id", "text", file).count() == 0
 
 
+def test_long_unbroken_texts_equal_the_library_in_bounded_memory(docs_of, monkeypatch):
+    file = public_tokenizers.path("piece_bpe_32k.model")
+    library, model = sentencepiece.SentencePieceProcessor(model_file=file), suffix_pieces.Pieces.load(file)
+    r = random.Random(5)
+    syllables = ["the", "ation", "ing", "a", "e", "é", "中", "\u0000", "x", "ß", "er", "▁▁"]
+    data = [base64.b64encode(r.randbytes(20_000)).decode(), "".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(6000)),
+            "a" * 9000, "ab" * 4000, "-" * 3000 + "=" * 4000, " " * 3000 + "x", "".join(r.choice("eainst") for _ in range(9000)),
+            "".join(r.choice(syllables) for _ in range(9000)), " ".join(["word" * 40] * 9)]
+    whole = [model.encode([t])[0] for t in data]
+    assert [np.frombuffer(x, "<u4").tolist() for x in whole] == library.encode(data)
+    monkeypatch.setattr(suffix_pieces, "WINDOW", 1 << 10)       # windows end inside pieces and characters
+    assert [suffix_pieces.Pieces.load(file).encode([t])[0] for t in data] == whole
+    monkeypatch.undo()
+
+    tracemalloc.start()
+    model.encode([base64.b64encode(r.randbytes(750_000)).decode()])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250_000_000                                    # a megabyte without a space
+    out = suffix_pieces.encode_and_decode(docs_of(list(enumerate(data))), "doc_id", "text", file).collect()
+    assert {x.doc_id: bytes(x.ids) for x in out} == dict(enumerate(whole)) and all(x.round_trip for x in out)
+
+
 def test_unigram_relaxation_equals_brute_force():
     vocab = {"a": -1.0, "b": -1.5, "ab": -2.0, "ba": -1.2, "aba": -3.1, "▁": -0.5, "▁a": -1.1}
     names = [*vocab, *(f"<0x{b:02X}>" for b in range(256))]
