@@ -4,7 +4,9 @@ Each step votes with one-versus-one linear support vector machines.  Their
 features are relative frequencies of hashed byte trigrams of the lower-cased
 text, with everything but letters as a space; a linear machine's score is then
 the mean weight of a text's trigrams, so prediction is one lookup and sum for
-each byte and machine.
+each byte and machine.  A step with more than ``WIDEST`` classes votes between
+groups of alike classes first, then within the winning group, so that machines
+grow in proportion to the languages.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, text_slices
+from .common import arrow_map, stash, text_slices
 
 #: The family of each language code; any other is a family of its own.
 FAMILIES = {
@@ -27,8 +29,8 @@ FAMILIES = {
 }
 UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 500  # bound of the labelled rows that are fitted on, for each language
-SAMPLE_ROWS = 20_000  # and for all languages together
-MOST_LANGUAGES = 200
+SAMPLE_ROWS = 20_000  # and for all languages together, but for one row of each
+WIDEST = 16  # classes that one vote decides between
 BUCKETS = 1 << 11
 
 _LETTER = np.zeros(256, dtype=np.uint8)
@@ -56,42 +58,66 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashed.astype(np.int64), starts
 
 
+@dataclass(frozen=True)
+class Step:
+    """One vote: its outcomes are languages, or further steps; a weight vector, with its bias, for each pair of them."""
+
+    outcomes: list[str | Step]
+    machines: list[tuple[int, int, np.ndarray, float]]
+
+    def vote(self, grams: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(outcome, how sure from 0 to 1) of each text; ties go to the first outcome.
+
+        Each text's weights are added by themselves, so that a score doesn't
+        depend on which texts come with it.
+        """
+        count = np.diff(starts)
+        votes = np.zeros((len(count), len(self.outcomes)))
+        filled = np.flatnonzero(count)
+        for a, b, w, bias in self.machines:
+            margin = np.full(len(count), bias)
+            if len(filled):
+                margin[filled] += np.add.reduceat(w[grams], starts[filled]) / count[filled]
+            chance = 1 / (1 + np.exp(-np.clip(4 * margin, -30, 30)))
+            votes[:, a] += chance
+            votes[:, b] += 1 - chance
+        best = np.argmax(votes, axis=1)
+        sure = votes[np.arange(len(count)), best] / max(1, len(self.outcomes) - 1) if self.machines else np.ones(len(count))
+        return best, sure
+
+
 @dataclass(frozen=True)
 class Model:
-    """``machines``: for each step (None, or a family) its classes and one weight vector, with its bias, for each pair."""
+    """``first``: the vote between families, whose outcomes are the votes within them; None if nothing was learned."""
 
-    families: dict[str, list[str]]
-    steps: dict[str | None, tuple[list[str], list[tuple[int, int, np.ndarray, float]]]]
+    first: Step | None
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """The language of each text and a score from 0 to 1; ``und`` and 0 without a letter."""
-        grams, starts = trigrams(texts)
-        count = np.diff(starts)
         lang = np.full(len(texts), UNKNOWN, dtype=object)
         score = np.zeros(len(texts))
-        if not self.families:
-            return lang.tolist(), score
-        seen = np.array([any(map(str.isalpha, t[:64])) or any(map(str.isalpha, t)) for t in texts], dtype=bool)
-        family, sure = self._vote(None, grams, starts, count)
-        for name in np.unique(family[seen]).tolist() if seen.any() else []:
-            mine = seen & (family == name)
-            best, part = self._vote(name, grams, starts, count)
-            lang[mine] = best[mine]
-            score[mine] = (sure * part)[mine]
+        seen = [i for i, t in enumerate(texts) if any(map(str.isalpha, t[:64])) or any(map(str.isalpha, t))]
+        todo = [(self.first, np.array(seen, dtype=np.int64), np.ones(len(seen)))] if self.first and seen else []
+        grams, starts = trigrams(texts) if todo else (None, None)
+        while todo:
+            step, rows, before = todo.pop()
+            best, sure = step.vote(*_of_rows(grams, starts, rows))
+            for k in np.unique(best).tolist():
+                mine, so_far = rows[best == k], (before * sure)[best == k]
+                if isinstance(step.outcomes[k], Step):
+                    todo.append((step.outcomes[k], mine, so_far))
+                else:
+                    lang[mine], score[mine] = step.outcomes[k], so_far
         return lang.tolist(), score
 
-    def _vote(self, step, grams, starts, count):
-        classes, machines = self.steps[step]
-        votes = np.zeros((len(count), len(classes)))
-        for a, b, w, bias in machines:
-            total = np.concatenate([[0.0], np.cumsum(w[grams])])
-            margin = (total[starts[1:]] - total[starts[:-1]]) / np.maximum(count, 1) + bias
-            chance = 1 / (1 + np.exp(-np.clip(4 * margin, -30, 30)))
-            votes[:, a] += chance
-            votes[:, b] += 1 - chance
-        best = np.argmax(votes, axis=1)
-        sure = votes[np.arange(len(count)), best] / max(1, len(classes) - 1) if machines else np.ones(len(count))
-        return np.array(classes, dtype=object)[best], sure
+
+def _of_rows(grams: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The trigrams of the texts ``rows`` alone, and where each one's begin."""
+    if len(rows) == len(starts) - 1:
+        return grams, starts
+    count = starts[rows + 1] - starts[rows]
+    at = np.concatenate([[0], np.cumsum(count)])
+    return grams[np.repeat(starts[rows] - at[:-1], count) + np.arange(at[-1])], at
 
 
 def fit(labels: list[str], features: np.ndarray) -> Model:
@@ -99,21 +125,33 @@ def fit(labels: list[str], features: np.ndarray) -> Model:
     families: dict[str, list[str]] = {}
     for lang in sorted(set(labels)):
         families.setdefault(FAMILIES.get(lang, lang), []).append(lang)
-    names = sorted(families)
     lang = np.array(labels, dtype=object)
-    kin = np.array([FAMILIES.get(x, x) for x in labels], dtype=object)
-    steps = {None: (names, _pairs(names, kin, features))}
-    for name in names:
-        steps[name] = (families[name], _pairs(families[name], lang, features))
-    return Model(families, steps)
+    return Model(_step([_step(families[f], lang, features) for f in sorted(families)], lang, features)) if families else Model(None)
+
+
+def _languages(outcome: str | Step) -> list[str]:
+    return [outcome] if isinstance(outcome, str) else [x for o in outcome.outcomes for x in _languages(o)]
+
+
+def _step(outcomes: list[str | Step], y: np.ndarray, x: np.ndarray) -> Step:
+    """A vote between ``outcomes``; more than ``WIDEST`` are put in order along the axis on which they differ most, and grouped."""
+    part = {name: i for i, o in enumerate(outcomes) for name in _languages(o)}
+    number = np.array([part.get(name, -1) for name in y])
+    if len(outcomes) > WIDEST:
+        means = np.array([x[number == i].mean(axis=0, dtype=np.float64) for i in range(len(outcomes))])
+        means -= means.mean(axis=0)
+        axis = np.linalg.eigh(means @ means.T)[1][:, -1]
+        groups = np.array_split(np.argsort(axis, kind="stable"), min(WIDEST, -(-len(outcomes) // WIDEST)))
+        return _step([_step([outcomes[i] for i in g], y, x) for g in groups], y, x)
+    return Step(outcomes, _pairs(len(outcomes), number, x))
 
 
-def _pairs(classes, y, x):
+def _pairs(classes: int, y: np.ndarray, x: np.ndarray) -> list[tuple[int, int, np.ndarray, float]]:
     out = []
-    for a in range(len(classes)):
-        for b in range(a + 1, len(classes)):
-            mine = (y == classes[a]) | (y == classes[b])
-            w, bias = linear_svm(x[mine], np.where(y[mine] == classes[a], 1.0, -1.0))
+    for a in range(classes):
+        for b in range(a + 1, classes):
+            mine = (y == a) | (y == b)
+            w, bias = linear_svm(x[mine], np.where(y[mine] == a, 1.0, -1.0))
             out.append((a, b, w, bias))
     return out
 
@@ -157,26 +195,29 @@ def learning_rows(df: DataFrame, key: str, text: str, lang: str, per_language: i
     """(lang, text): the rows to fit on, or None if no row can teach.
 
     At most about ``per_language`` of each language and ``most_rows`` in all,
-    from rows with text and label that aren't held out.  Which ones is set by a
-    hash of key and text, so it is the same at any layout, and neither a null
-    key nor copies held by very many rows lift the bound.  Only the
-    ``MOST_LANGUAGES`` languages with the most rows are learned.
+    and at least one of each language, from rows with text and label that
+    aren't held out.  Which ones is set by a hash of key and text, so it is the
+    same at any layout, and neither a null key nor copies held by very many
+    rows lift the bound.
     """
-    rows = df.where(~held_out(key) & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES).collect()}
-    if not counts:
+    rows = df.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).cast("string").alias("key"), held_out(key).alias("out"))
+    rows = rows.where(~F.col("out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    draw = F.xxhash64("key", "text", F.lit("learn")).bitwiseAND(F.lit((1 << 30) - 1)) / float(1 << 30)
+    rows = rows.select("lang", "text", draw.alias("draw"))
+    found = stash(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("draw").alias("least")), "languages")
+    classes = found.count()
+    if not classes:
         return None
-    most = min(per_language, most_rows / len(counts))
-    share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, most / n))))
-    draw = (F.xxhash64(F.col(key).cast("string"), F.col(text), F.lit("learn")).bitwiseAND(F.lit((1 << 30) - 1))) / float(1 << 30)
-    return rows.where(draw < share[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text")).distinct()
+    share = F.greatest(F.lit(min(per_language, most_rows / classes)) / F.col("n"), F.col("least"))
+    picked = rows.join(found.select("lang", share.alias("share")), "lang").where(F.col("draw") <= F.col("share"))
+    return picked.select("lang", "text").distinct()
 
 
 def train(df: DataFrame, key: str, text: str, lang: str, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Fits on the bounded sample of ``learning_rows``; without any such row, nothing is learned."""
     picked = learning_rows(df, key, text, lang, per_language)
     if picked is None:
-        return Model({}, {})
+        return Model(None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +233,7 @@ def train(df: DataFrame, key: str, text: str, lang: str, per_language: int = SAM
     got = sorted(((r[0], bytes(r[1])) for r in arrow_map(picked, run, "lang string, x binary").collect()))
     x = np.array([np.frombuffer(b, np.float16) for _, b in got], dtype=np.float32).reshape(len(got), BUCKETS)
     used = x.any(axis=1)
-    return fit([g[0] for g, u in zip(got, used) if u], x[used]) if used.any() else Model({}, {})
+    return fit([g[0] for g, u in zip(got, used) if u], x[used]) if used.any() else Model(None)
 
 
 def identify(df: DataFrame, model: Model, key: str, text: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Sharding, secrets, near-duplicates and language ID against brute force on small tables."""
 
+import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -203,6 +205,65 @@ def test_one_language_is_the_answer(docs_of):
     assert {r.lang_pred for r in out} == {"en"}
 
 
+def invented_languages(n, docs, seed=4):
+    """(lang, text): every language writes with six syllables of its own choice."""
+    r = random.Random(seed)
+    syllables = [a + b + c for a in "bdfgklmnprstvz" for b in "aeiou" for c in "lnrs"]
+    own = {f"x{i:03d}": r.sample(syllables, 6) for i in range(n)}
+    return [(lang, " ".join("".join(r.choice(mine) for _ in range(3)) for _ in range(30))) for lang, mine in own.items() for _ in range(docs)]
+
+
+def slow_vote(model, text):
+    """``Model.predict`` of one text, a trigram and a machine at a time."""
+    if not any(c.isalpha() for c in text):
+        return "und", 0.0
+    raw = [c if c >= 128 or 97 <= c <= 122 else 32 for c in b" " + text.lower().encode() + b" "]
+    grams = []
+    for x, y, z in zip(raw, raw[1:], raw[2:]):
+        if not (y == 32 and (x == 32 or z == 32)):
+            grams.append((((x * 0x10001 + y * 0x101 + z) & 0xFFFFFFFF) * 0x9E3779B1 & 0xFFFFFFFF) >> 21)
+    step, score = model.first, 1.0
+    while not isinstance(step, str):
+        votes = [0.0] * len(step.outcomes)
+        for a, b, w, bias in step.machines:
+            margin = sum(w[g] for g in grams) / max(1, len(grams)) + bias
+            chance = 1 / (1 + math.exp(-min(30, max(-30, 4 * margin))))
+            votes[a] += chance
+            votes[b] += 1 - chance
+        best = max(range(len(votes)), key=lambda k: (votes[k], -k))
+        score *= votes[best] / (len(votes) - 1) if step.machines else 1.0
+        step = step.outcomes[best]
+    return step, score
+
+
+def test_votes_equal_brute_force_and_do_not_depend_on_the_slice(spark, docs_of):
+    assert langid.BUCKETS == 1 << 11
+    real = [(i, r.text, r.lang) for i, r in enumerate(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", "lang").collect())]
+    made = [(1000 + i, text, lang) for i, (lang, text) in enumerate(invented_languages(40, 12))]       # more classes than one vote takes
+    model = langid.train(docs_of(real + made), "doc_id", "text", "lang")
+    most = [model.first]
+    for step in most:
+        assert len(step.outcomes) <= langid.WIDEST and len(step.machines) == len(step.outcomes) * (len(step.outcomes) - 1) // 2
+        most += [o for o in step.outcomes if not isinstance(o, str)]
+    assert len(most) > 3
+    texts = ["", "12 !", "x", "é", *(t or "" for _, t, _ in real[:60]), *(t for _, t, _ in made[::7])]
+    lang, score = model.predict(texts)
+    slow = [slow_vote(model, t) for t in texts]
+    assert lang == [s[0] for s in slow] and np.allclose(score, [s[1] for s in slow], rtol=0, atol=1e-9)
+    alone = [model.predict([t]) for t in texts]
+    assert lang == [a[0][0] for a in alone] and score.tolist() == [a[1][0] for a in alone]
+
+
+def test_every_language_is_learned(docs_of):
+    rows = [(i, text, lang) for i, (lang, text) in enumerate(invented_languages(230, 6))]
+    df = docs_of(rows)
+    taught = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert {r.lang for r in langid.learning_rows(df, "doc_id", "text", "lang", most_rows=100).collect()} == taught and len(taught) > 220
+    model = langid.train(df, "doc_id", "text", "lang")
+    found = [r.lang_pred == rows[r.doc_id][2] for r in langid.identify(df, model, "doc_id", "text").collect()]
+    assert np.mean(found) > 0.9
+
+
 def test_components_of_keys_that_are_no_numbers(spark):
     from revlens.llm.components import connected_components
 
