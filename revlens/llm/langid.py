@@ -32,6 +32,7 @@ SAMPLE_PER_LANGUAGE = 500  # bound of the labelled rows that are fitted on, for
 SAMPLE_ROWS = 20_000  # and for all languages together, but for one row of each
 WIDEST = 16  # classes that one vote decides between
 BUCKETS = 1 << 11
+SLICE = 400_000  # characters of texts that are scored together; a longer text is alone
 
 _LETTER = np.zeros(256, dtype=np.uint8)
 _LETTER[:] = 32
@@ -221,7 +222,7 @@ def train(df: DataFrame, key: str, text: str, lang: str, per_language: int = SAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in text_slices(batch.column(1).to_pylist()):
+            for first, part in text_slices(batch.column(1).to_pylist(), SLICE):
                 grams, starts = trigrams(part)
                 count = np.diff(starts)
                 doc = np.repeat(np.arange(len(part)), count)
@@ -243,7 +244,7 @@ def identify(df: DataFrame, model: Model, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in text_slices(batch.column(1).to_pylist()):
+            for first, part in text_slices(batch.column(1).to_pylist(), SLICE):
                 lang, score = shipped.value.predict(part)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(part)), pa.array(lang, pa.string()), pa.array(score)],
                                                  names=["key", "lang_pred", "score"])
@@ -259,7 +260,7 @@ def keep_recognised(df: DataFrame, model: Model, text: str, least: float) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for _, part in text_slices(batch.column(batch.schema.get_field_index(text)).to_pylist()):
+            for _, part in text_slices(batch.column(batch.schema.get_field_index(text)).to_pylist(), SLICE):
                 lang, score = shipped.value.predict(part)
                 keep += [x != UNKNOWN and s >= least for x, s in zip(lang, score.tolist())]
             yield batch.filter(pa.array(keep, pa.bool_()))

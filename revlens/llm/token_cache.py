@@ -25,7 +25,7 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 #: The mark between chunks; a text that holds it is not cut.
 _MARK = "\x00"
 #: Bytes of chunks and ids that the cache may hold, some tens of bytes a chunk counted in.
-CACHE_BYTES = 192 << 20
+CACHE_BYTES = 128 << 20
 _ENTRY = 150
 
 
