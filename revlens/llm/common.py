@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -62,10 +65,41 @@ def workers_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+#: What operators keep in a worker for the tasks of one stage, by name, and the stage that it belongs to.
+KEPT: dict[str, object] = {}
+_stage: int | None = None
+
+
+def begin_task() -> None:
+    """A worker outlives its stages: what another stage's tasks kept in it goes."""
+    global _stage
+    task = TaskContext.get()
+    stage = task.stageId() if task else None
+    if stage != _stage:
+        KEPT.clear()
+        _stage = stage
+
+
+def give_back() -> None:
+    """Gives the memory that a task has freed back to the system, for the other processes of the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow`` with this package importable on the workers and batches of ``BATCH_ROWS`` rows."""
+    """``df.mapInArrow`` with this package importable on the workers and batches of ``BATCH_ROWS`` rows.
+
+    A task gives its memory back when it ends, as workers live on.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
+        yield from fn(batches)
+        give_back()
+
     workers_import(df.sparkSession)
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if df.sparkSession.conf.get(rows) == "10000":
         df.sparkSession.conf.set(rows, BATCH_ROWS)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(run, schema)

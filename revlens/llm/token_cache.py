@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import KEPT
 from .runs import runs
 
 #: What needs the slower cut: white space next to white space, or of another kind.
@@ -169,11 +170,9 @@ class CachedEncoder:
                 self._name(group, self._add_all(e.ids, first, np.searchsorted(start, begin + length) - first))
 
 
-_ENCODERS: dict[str, CachedEncoder] = {}
-
-
 def encoder(file: str) -> CachedEncoder:
-    """One encoder for each process and file."""
-    if file not in _ENCODERS:
-        _ENCODERS[file] = CachedEncoder(file)
-    return _ENCODERS[file]
+    """One encoder for each file, kept in a worker for the tasks of a stage."""
+    name = f"encoder {file}"
+    if name not in KEPT:
+        KEPT[name] = CachedEncoder(file)
+    return KEPT[name]
