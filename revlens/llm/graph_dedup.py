@@ -194,8 +194,9 @@ def apart(unit: np.ndarray, cells: np.ndarray, side: np.ndarray, least: float =
 def _strangers(points: DataFrame, least: float) -> DataFrame:
     """(id, links, near) of the links between vectors of a label without a common cell; links counts copies."""
     kind = points.schema["id"].dataType.simpleString()
-    sizes = points.groupBy("label").agg(F.ceil(F.count("*") / WIDE_BLOCK).cast("int").alias("s"))
-    cut = points.join(F.broadcast(sizes), "label").withColumn("sub", F.pmod(F.xxhash64("id"), F.col("s")).cast("int"))
+    # stored, so that its size is known: broadcast only if it is small
+    sizes = stash(points.groupBy("label").agg(F.ceil(F.count("*") / WIDE_BLOCK).cast("int").alias("s")), "sizes")
+    cut = points.join(sizes, "label").withColumn("sub", F.pmod(F.xxhash64("id"), F.col("s")).cast("int"))
     met = (cut.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
            .select("label", F.least("sub", "t").alias("i"), F.greatest("sub", "t").alias("j"), "id", "u", "copies", "cells", "sub"))
 
