@@ -14,7 +14,9 @@ documents with an empty coordinate go on to twice that time.
 Joining.  Documents with equal shingles are one class before anything is
 joined.  Classes with an equal band of ``rows`` coordinates meet in a bucket;
 in each bucket every member is first paired with the bucket's smallest id, so
-the pairs grow with the members.  Pairs are checked exactly on their shingles.
+the pairs grow with the members; a bucket's members are dealt to ``PARTS`` parts
+that are counted, and meet that id, apart.  Pairs are checked exactly on their
+shingles.
 Members that don't link to it are compared with everyone in the bucket, in
 blocks that are tasks of their own.  Links give components; none is dropped
 for the size of its bucket.
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -37,6 +39,8 @@ from .shingles import draw, mix, shingle_sets
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
 BLOCK = 256
+#: Parts that a bucket's members are dealt to, so that a very common band isn't one task.
+PARTS = 256
 
 
 def dart_signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, docs: int, k: int) -> np.ndarray:
@@ -222,8 +226,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", *, w
     copies = signed.join(same.select("f1", "f2", "rep"), ["f1", "f2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
     members = same.select(F.col("rep").alias("id"), F.explode(F.array_distinct("bands")).alias("bucket"))
-    heads = members.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    members = stash(members.join(heads, "bucket"), "members")
+    members = stash(_with_heads(members), "members")
     pairs = stash(members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
     sets = _shingles_of(known, ends, words, by_count)
@@ -235,12 +238,26 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", *, w
             .select(F.col("id").alias(key), F.coalesce("component", "id").alias("class_id")))
 
 
+def _with_heads(members: DataFrame) -> DataFrame:
+    """Members (id, bucket) of buckets of two and more, each with its bucket's smallest id ``pivot`` and size ``n``.
+
+    Only a bucket's parts, ``PARTS`` at most, come together by bucket; members meet the result by bucket and part.
+    """
+    dealt = members.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(PARTS)).cast("int"))
+    parts = dealt.groupBy("bucket", "part").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    whole = Window.partitionBy("bucket")
+    heads = (parts.select("bucket", "part", F.min("first").over(whole).alias("pivot"), F.sum("n").over(whole).alias("n"))
+             .where("n > 1"))
+    return dealt.join(heads, ["bucket", "part"]).drop("part")
+
+
 def _within_buckets(members: DataFrame, links: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Links (a, b) of members who don't link to their bucket's pivot, with anyone in the bucket.
 
     A bucket is cut into blocks of about ``BLOCK`` members, and each block of
     such members meets each block of all members in a task of its own, so a
-    large bucket is many small tasks.  A task gives a spanning set of the links
+    large bucket is many small tasks.  Members learn the number of blocks that
+    they meet by bucket and block.  A task gives a spanning set of the links
     that it finds, at most one for each member.
     """
     kind = members.schema["id"].dataType.simpleString()
@@ -248,12 +265,16 @@ def _within_buckets(members: DataFrame, links: DataFrame, sets: DataFrame, least
              .join(links.select(F.col("a").alias("id"), F.col("b").alias("pivot")), ["id", "pivot"], "left_anti")
              .select("bucket", "id", "n"))
     alone = stash(alone, "alone")
-    blocks = alone.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("m"))
     cut = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    asking = (alone.withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")).join(blocks, "bucket")
-              .select("bucket", "id", F.lit(True).alias("asks"), cut("m").alias("i"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("j")))
-    asked = (members.withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")).join(blocks, "bucket")
-             .select("bucket", "id", F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("i"), cut("k").alias("j")))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    k = F.ceil(F.col("n") / BLOCK).cast("int")
+    # m: blocks of a bucket's members that ask, k: of all its members; a row for each of the k
+    blocks = (alone.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("m"), F.max(k).alias("k"))
+              .select("bucket", "m", upto("k").alias("j")))
+    asking = (alone.withColumn("k", k).withColumn("j", cut("k")).join(blocks, ["bucket", "j"])
+              .select("bucket", "id", F.lit(True).alias("asks"), cut("m").alias("i"), upto("k").alias("j")))
+    asked = (members.withColumn("j", cut(k)).join(blocks, ["bucket", "j"])
+             .select("bucket", "id", F.lit(False).alias("asks"), upto("m").alias("i"), "j"))
     rows = (asking.unionByName(asked).join(sets, "id")
             .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
             .select("bucket", "i", "j", "id", "asks", "hashes", "counts"))

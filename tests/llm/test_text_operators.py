@@ -272,3 +272,16 @@ def test_components_of_keys_that_are_no_numbers(spark):
     got = {r.id: r.component for r in connected_components(links).collect()}
     assert got == {**{n: "k00" for n in names}, "x1": "x1", "x2": "x1", "17": "17", "9": "17"}
     assert connected_components(links.limit(0)).count() == 0
+
+
+def test_a_common_band_is_counted_and_met_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(dart_minhash, "PARTS", 8)
+    rows = [(i, 7 if i % 3 == 0 else i % 50 + 100) for i in range(900)] + [(1000, 999)]
+    got = dart_minhash._with_heads(spark.createDataFrame(rows, "id long, bucket long"))
+    groups = {}
+    for i, b in rows:
+        groups.setdefault(b, []).append(i)
+    want = sorted((i, b, min(groups[b]), len(groups[b])) for i, b in rows if len(groups[b]) > 1)
+    assert sorted((r.id, r.bucket, r.pivot, r.n) for r in got.collect()) == want
+    empty = dart_minhash._with_heads(spark.createDataFrame([], "id long, bucket long"))
+    assert empty.count() == 0
