@@ -8,7 +8,6 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -65,19 +64,17 @@ def workers_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-#: What operators keep in a worker for the tasks of one stage, by name, and the stage that it belongs to.
+#: What an operator keeps in a worker for its next tasks, by name, and the operator's module.
 KEPT: dict[str, object] = {}
-_stage: int | None = None
+_owner: str | None = None
 
 
-def begin_task() -> None:
-    """A worker outlives its stages: what another stage's tasks kept in it goes."""
-    global _stage
-    task = TaskContext.get()
-    stage = task.stageId() if task else None
-    if stage != _stage:
+def begin_task(owner: str) -> None:
+    """A worker outlives its stages: what another operator kept in it goes."""
+    global _owner
+    if owner != _owner:
         KEPT.clear()
-        _stage = stage
+        _owner = owner
 
 
 def give_back() -> None:
@@ -93,8 +90,10 @@ def arrow_map(df: DataFrame, fn: Callable, schema: str | StructType) -> DataFram
 
     A task gives its memory back when it ends, as workers live on.
     """
+    owner = fn.__module__
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin_task()
+        begin_task(owner)
         yield from fn(batches)
         give_back()
 

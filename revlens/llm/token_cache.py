@@ -171,7 +171,7 @@ class CachedEncoder:
 
 
 def encoder(file: str) -> CachedEncoder:
-    """One encoder for each file, kept in a worker for the tasks of a stage."""
+    """One encoder for each file, kept in a worker while it runs tasks of the same operator."""
     name = f"encoder {file}"
     if name not in KEPT:
         KEPT[name] = CachedEncoder(file)
