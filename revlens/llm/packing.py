@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stash, text_slices, workers_import
-from .token_cache import encoder
+from .common import arrow_map, stash, workers_import
+from .token_cache import encoded_rows, encoder
 
 CAPACITY, END_ID = 1024, 2
 GROUP = 4096
@@ -66,22 +66,22 @@ def token_pieces(df: DataFrame, key: str, text: str, tokenizer: str, capacity: i
         return pieces.combine_chunks().to_batches()[0]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, turn = encoder(tokenizer), TaskContext.get().partitionId() * 7919
-        for batch in batches:
-            for first, part in text_slices(batch.column(1).to_pylist()):
-                who, cols = [], []
-                for i, ids in enumerate(encode.encode(part)):
-                    ids += end
-                    n = len(ids) // 4
-                    at, piece = 0, 0
-                    while at < n:
-                        size = (n - 1) % capacity + 1 if piece == 0 else capacity
-                        who.append(first + i)
-                        cols.append((piece, at, size, ids[4 * at:4 * (at + size)], turn))
-                        at, piece, turn = at + size, piece + 1, turn + 1
+        turn = TaskContext.get().partitionId() * 7919
+        for keys, coded in encoded_rows(batches, encoder(tokenizer)):
+            who, cols = [], []
+            for i, ids in enumerate(coded):
+                ids += end
+                n = len(ids) // 4
+                at, piece = 0, 0
+                while at < n:
+                    size = (n - 1) % capacity + 1 if piece == 0 else capacity
+                    who.append(i)
+                    cols.append((piece, at, size, ids[4 * at:4 * (at + size)], turn))
+                    at, piece, turn = at + size, piece + 1, turn + 1
+            if cols:
                 piece, start, size, part_ids, turns = zip(*cols)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(who, pa.int64())), pa.array(piece, pa.int32()),
+                    [keys.take(pa.array(who, pa.int64())), pa.array(piece, pa.int32()),
                      pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(part_ids, pa.binary()), pa.array(turns, pa.int64())],
                     names=["key", "piece", "start", "length", "ids", "turn"])
 

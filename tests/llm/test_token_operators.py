@@ -4,11 +4,13 @@ import base64
 import io
 import random
 import tracemalloc
+import unicodedata
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -38,6 +40,32 @@ def test_cached_encoder_equals_the_library(file):
         assert [np.frombuffer(x, "<u4").tolist() for x in encode.encode(part)] == [want(t)[:-1] for t in part]
 
 
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_letters_that_nfc_takes_apart_keep_their_mark(file):
+    letters = [chr(c) for c in range(0x300, 0x2FA20) if chr(c).isalpha() and unicodedata.normalize("NFC", chr(c)) != chr(c)]
+    data = [make(c) for c in letters for make in ("a {}. x".format, "{0}'s, b{0}#\n{0}!?".format)]
+    encode = CachedEncoder(public_tokenizers.path(file))
+    want = encode.tokenizer.encode_batch(data, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode.encode(data)] == [e.ids for e in want]
+
+
+def test_batches_are_encoded_together_by_a_bounded_cache(monkeypatch):
+    from revlens.llm import token_cache
+    monkeypatch.setattr(token_cache, "CALL_CHARS", 9000)
+    monkeypatch.setattr(token_cache, "CACHE_BYTES", 40_000)
+    want, encode, calls = reference("word_bpe_49k.json"), CachedEncoder(public_tokenizers.path("word_bpe_49k.json")), []
+    whole = encode.encode
+    monkeypatch.setattr(encode, "encode", lambda part: calls.append(len(part)) or whole(part))
+    data = [None, "", *(f"w{i % 700} some({i}) tail.%%% {chr(97 + i % 26) * (i % 9)}!" for i in range(3000))]
+    batches = [pa.RecordBatch.from_pydict({"key": list(range(i, min(i + 50, len(data)))), "text": pa.array(data[i:i + 50], pa.string())}) for i in range(0, len(data), 50)]
+    got = {}
+    for keys, ids in token_cache.encoded_rows(iter(batches), encode):
+        got |= zip(keys.to_pylist(), ids)
+        assert encode.chunks.nbytes + encode.ids.nbytes < 40_000 + 3 * 9000 * 10
+    assert {k: [*np.frombuffer(x, "<u4").tolist(), 2] for k, x in got.items()} == dict(enumerate(map(want, data)))
+    assert sum(calls) == len(data) and 1 < len(calls) < len(batches) // 2
+
+
 ROWS = [(3, "some words here"), (1, None), (2, ""), (None, "no key"), (3, "some words here"), (9, "long text, " * 2500)]
 
 
