@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, shared_path, stash, text_slices
-from .token_cache import encoder
+from .common import arrow_map, shared_path, stash
+from .token_cache import encoded_rows, encoder
 
 #: Fixed values of the seekable format, and of the skippable frame with the keys.
 SEEK_MAGIC, SEEK_FRAME, KEY_FRAME = 0x8F92EAB1, 0x184D2A5E, 0x184D2A50
@@ -142,17 +142,15 @@ def write_tokens(df: DataFrame, key: str, text: str, tokenizer: str, folder: str
         fs, root = pafs.FileSystem.from_uri(folder)
         number, docs, tokens, out = TaskContext.get().partitionId(), 0, 0, None
         path = f"{root}/part-{number:06d}-{uuid.uuid4().hex}.tokens"
-        for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for first, part in text_slices(batch.column(1).to_pylist()):
-                if out is None:
-                    fs.create_dir(root, recursive=True)
-                    stream = fs.open_output_stream(path)
-                    out = FrameWriter(stream, wide)
-                for i, ids in enumerate(encode.encode(part)):
-                    ids = np.frombuffer(ids + end, dtype="<u4")
-                    out.add(keys[first + i], ids)
-                    docs, tokens = docs + 1, tokens + len(ids)
+        for keys, coded in encoded_rows(batches, encode):
+            if out is None:
+                fs.create_dir(root, recursive=True)
+                stream = fs.open_output_stream(path)
+                out = FrameWriter(stream, wide)
+            for key, ids in zip(keys.to_pylist(), coded):
+                ids = np.frombuffer(ids + end, dtype="<u4")
+                out.add(key, ids)
+                docs, tokens = docs + 1, tokens + len(ids)
         if out is not None:
             out.close()
             stream.close()
