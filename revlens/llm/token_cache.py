@@ -37,9 +37,9 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 #: The mark between chunks; a text that holds it is not cut.
 _MARK = "\x00"
 #: Bytes of chunks and ids that the cache may hold between calls.
-CACHE_BYTES = 32 << 20
+CACHE_BYTES = 16 << 20
 #: Characters encoded in one call: the more, the fewer chunks are looked up again.
-CALL_CHARS = 6_000_000
+CALL_CHARS = 2_000_000
 #: Chunks joined to one text for the library, and handed over at a time.
 _GROUP, _CALL = 128, 1 << 14
 _IDS = pa.list_(pa.uint32())
